@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shoplake.operators import working
 from shoplake.plans import medallion
 from shoplake.registry.base import (
-    DAILY_SQL, EVENT_SQL, facts, query, sql_date, valid_events, valid_orders,
+    DAILY_SQL, EVENT_SQL, facts, query, sql_date, valid_events,
 )
 from shoplake.operators.merge import merge_rows
 from shoplake.sinks import catalog, maintenance, tables as table_sinks
@@ -129,33 +129,30 @@ def upsert_generic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("upsert_events", f"""
-SELECT {sql_date('event_time')} AS event_date, event_type, product_id, user_id,
-  CAST(price + 1 AS DOUBLE) AS price, user_session FROM good
+SELECT {sql_date('event_time')} AS event_date, {EVENT_SQL}, event_id + 1000000000 AS kafka_offset
+FROM (SELECT * REPLACE (price + 1 AS price) FROM good)
 UNION ALL
-SELECT * FROM (SELECT {sql_date('event_time')} AS event_date, event_type, product_id, user_id,
-  CAST(max(price) AS DOUBLE) AS price, NULL AS user_session
-FROM good_orders GROUP BY event_time, user_id, product_id, event_type)""")
+SELECT {sql_date('event_time')} AS event_date, {EVENT_SQL}, event_id AS kafka_offset
+FROM (SELECT * REPLACE (event_time + INTERVAL 1 DAY AS event_time) FROM good)""")
 def upsert_events(spark: SparkSession, folder: str) -> DataFrame:
-    """All events, then all of them again with a higher price and every order line as well."""
+    """All events; then all of them again, twice with rising prices, and as many a day later."""
     path = new_folder(spark, "upsert_events")
-    clicks = valid_events(spark, folder).withColumn("kafka_offset", F.col("event_id")).drop("event_id")
-    first = clicks.withColumn("kafka_partition", F.lit(0))
-    # The price serves as the position of order lines, so the dearest copy wins.
-    orders = valid_orders(spark, folder).withColumns({
-        "kafka_offset": (F.col("price") * 100).cast("bigint"),
-        "kafka_partition": F.lit(1),
-        "user_session": F.lit(None).cast("string"),
-    })
-    second = first.withColumns({
-        "price": (F.col("price") + 1).cast("decimal(10,2)"),
-        "kafka_offset": F.col("kafka_offset") + 1_000_000_000,
-    })
-    for batch in (first, second.unionByName(orders)):
-        medallion.upsert_events(spark, path, working.prepare(batch))
-    return table_sources.scan(spark, path).select(
-        "event_date", "event_type", "product_id", "user_id", "price", "user_session"
+    first = valid_events(spark, folder).withColumnRenamed("event_id", "kafka_offset").withColumn(
+        "kafka_partition", F.lit(0)
     )
 
+    def resent(cents: int, offset: int) -> DataFrame:
+        raised = F.col("price") + F.lit(cents).cast("decimal(5,0)") / 100
+        return first.withColumns({
+            "price": raised.cast("decimal(10,2)"), "kafka_offset": F.col("kafka_offset") + offset,
+        })
+
+    next_day = first.withColumn("event_time", F.col("event_time") + F.make_dt_interval(days=F.lit(1)))
+    second = resent(50, 500_000_000).unionByName(resent(100, 1_000_000_000)).unionByName(next_day)
+    for batch in (first, second):
+        medallion.upsert_events(spark, path, working.prepare(batch))
+    return table_sources.scan(spark, path).drop("event_key", "kafka_partition")
+
 
 # --- zone jobs -------------------------------------------------------------
 

@@ -20,8 +20,14 @@ def scan_day(
 
 
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """CSV events with a header line, every field as text."""
-    return spark.read.csv(path, schema=schemas.EVENT_TEXT, header=True, enforceSchema=False)
+    """CSV events with a header line, every field as text.
+
+    An empty field is null and a quoted empty one is empty text, for which the
+    null marker has to differ from the empty text.
+    """
+    return spark.read.csv(
+        path, schema=schemas.EVENT_TEXT, header=True, enforceSchema=False, nullValue="\u0000"
+    )
 
 
 def csv_events(spark: SparkSession, path: str) -> DataFrame:
