@@ -18,11 +18,11 @@ def interaction_scores(
     decay_rate: float = params.DECAY_PER_DAY,
 ) -> DataFrame:
     """Decayed score of each user-product pair: capped views plus non-negative actions."""
-    fade = decay(newest_event_second(events), decay_rate)
-    views = F.sum(F.when(is_type("view"), F.lit(view_weight) * fade).otherwise(0.0))
-    actions = F.sum(type_weight(action_weights) * fade)
+    faded = events.withColumn("fade", decay(newest_event_second(events), decay_rate))
+    views = F.sum(F.when(is_type("view"), F.lit(view_weight) * F.col("fade")).otherwise(0.0))
+    actions = F.sum(type_weight(action_weights) * F.col("fade"))
     return (
-        events.groupBy("user_id", "product_id")
+        faded.groupBy("user_id", "product_id")
         .agg(
             F.least(views, F.lit(float(view_cap))).alias("view_score"),
             F.greatest(actions, F.lit(0.0)).alias("action_score"),

@@ -29,20 +29,19 @@ def merge_rows(
     split a hot key of the target.
     """
     columns = target.columns
-    new = source.alias("source")
-    marked = source.withColumn("_matched", F.lit(True)).alias("source")
-    old = target.alias("target")
+    old, new = target.alias("target"), source.alias("source")
 
     def holds(condition: str | None) -> Column:
         return F.lit(True) if condition is None else F.coalesce(F.expr(condition), F.lit(False))
 
-    joined = old.join(marked, _same_key(keys), "left")
-    matched = F.coalesce(F.col("source._matched"), F.lit(False))
-    replace = matched & holds(update_condition)
+    joined = old.join(new, _same_key(keys), "left")
+    matched = F.col(f"source.{keys[0]}").isNotNull()
     if delete_condition is not None:
         joined = joined.where(~(matched & holds(delete_condition)))
+    replace = matched & holds(update_condition)
     kept = joined.select(*[
-        F.when(replace, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
+        F.col(f"target.{c}") if c in keys
+        else F.when(replace, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
         for c in columns
     ])
 
@@ -51,4 +50,3 @@ def merge_rows(
     if insert_condition is not None:
         fresh = fresh.where(holds(insert_condition))
     return kept.unionByName(fresh.select(*columns))
-

@@ -1,6 +1,8 @@
 """Record rules, the valid/invalid split and data-quality counts."""
 
+from collections.abc import Iterable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,8 +14,8 @@ def rules(
     price_max: Decimal = params.PRICE_MAX,
     event_types: tuple[str, ...] = params.EVENT_TYPES,
 ) -> dict[str, Column]:
-    """Rule name to a predicate that is never null."""
-    checks = {
+    """Rule name to its predicate, which is null or false where the rule fails."""
+    return {
         "price": F.col("price").between(F.lit(price_min), F.lit(price_max)),
         "event_type": F.col("event_type").isin(*event_types),
         "product_id": F.col("product_id") > 0,
@@ -21,22 +23,21 @@ def rules(
         "event_time": F.col("event_time").isNotNull(),
         "category_id": F.col("category_id") > 0,
     }
-    return {name: F.coalesce(check, F.lit(False)) for name, check in checks.items()}
 
+def _holds(check: Column) -> Column:
+    return F.coalesce(check, F.lit(False))
 
-def _all_hold(checks: dict[str, Column]) -> Column:
-    holds = F.lit(True)
-    for check in checks.values():
-        holds = holds & check
-    return holds
+
+def _all_hold(checks: Iterable[Column]) -> Column:
+    return reduce(lambda left, right: left & right, checks)
 
 
 def flag(events: DataFrame, **limits) -> DataFrame:
     """Adds one flag per rule, the overall flag and the comma-separated failures."""
     checks = rules(**limits)
-    flags = {f"is_valid_{name}": check for name, check in checks.items()}
+    flags = {f"is_valid_{name}": _holds(check) for name, check in checks.items()}
     failures = [F.when(~F.col(f"is_valid_{name}"), F.lit(f"invalid_{name}")) for name in checks]
-    passed = _all_hold({name: F.col(f"is_valid_{name}") for name in checks})
+    passed = _all_hold(F.col(f"is_valid_{name}") for name in checks)
     return events.withColumns(flags).withColumns(
         {"is_valid_record": passed, "invalid_reasons": F.concat_ws(", ", *failures)}
     )
@@ -51,8 +52,11 @@ def fill_unknown(events: DataFrame) -> DataFrame:
 
 
 def valid(events: DataFrame, **limits) -> DataFrame:
-    """Records that pass every rule, in the input's columns."""
-    return fill_unknown(events.where(_all_hold(rules(**limits))))
+    """Records that pass every rule, in the input's columns.
+
+    The rules stay plain comparisons here, so that scans can use them.
+    """
+    return fill_unknown(events.where(_all_hold(rules(**limits).values())))
 
 
 def invalid(events: DataFrame, processed_at=None, **limits) -> DataFrame:
@@ -64,8 +68,8 @@ def invalid(events: DataFrame, processed_at=None, **limits) -> DataFrame:
 
 def quality_counts(events: DataFrame, **limits) -> DataFrame:
     """Total, valid, invalid and per-rule failure counts in one pass and one row."""
-    checks = rules(**limits)
-    passed = _all_hold(checks)
+    checks = {name: _holds(check) for name, check in rules(**limits).items()}
+    passed = _all_hold(checks.values())
     return events.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(passed).alias("valid_records"),

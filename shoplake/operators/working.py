@@ -40,8 +40,3 @@ def newest_per_key(
         .where(F.col("_position") == 1)
         .drop("_position")
     )
-
-
-def newest_events(prepared: DataFrame) -> DataFrame:
-    """One row per event key: latest time, then highest offset, then partition."""
-    return newest_per_key(prepared, ("event_key",), NEWEST_FIRST)

@@ -5,11 +5,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shoplake import params
 from shoplake.operators.gold import agg_daily_events, agg_product_daily, fact_events
 from shoplake.operators.merge import GUARD_NEWER
 from shoplake.operators.parsing import flatten_raw
 from shoplake.operators.validation import quality_counts, valid
-from shoplake.operators.working import newest_events, prepare
+from shoplake.operators.working import NEWEST_FIRST, newest_per_key, prepare
 from shoplake.sinks.tables import (
     in_partitions, overwrite_partitions, partition_values, upsert_table,
 )
@@ -19,20 +20,28 @@ IS_DELETED = "source.is_deleted"
 
 
 def upsert_events(
-    spark: SparkSession, working_path: str, prepared: DataFrame, apply_deletes: bool = False
+    spark: SparkSession,
+    working_path: str,
+    prepared: DataFrame,
+    key: tuple[str, ...] = params.DEDUP_KEY,
+    apply_deletes: bool = False,
 ) -> list[date]:
-    """Merges prepared events into the working table and returns the event dates touched.
+    """Merges prepared events into the working table and returns the event dates they carry.
 
-    Copies inside the batch are reduced to the newest first. The dates come from
-    the rows before that step, as every copy of a key has the same date.
+    Copies inside the batch are reduced to the newest first. A key with the
+    event time fixes the date, so the merge stays inside the batch's dates and
+    deduplication and join share one partitioning. The dates come from the rows
+    before deduplication: every copy of such a key has the same one.
     """
     dates = partition_values(prepared, "event_date")
+    fixed_date = "event_time" in key
+    keys = ("event_key", "event_date") if fixed_date else ("event_key",)
     deletes = {}
     if apply_deletes:
         deletes = {"delete_condition": IS_DELETED, "insert_condition": f"NOT {IS_DELETED}"}
     upsert_table(
-        spark, working_path, newest_events(prepared), ["event_key", "event_date"], "event_date",
-        update_condition=GUARD_NEWER, touched=dates, **deletes,
+        spark, working_path, newest_per_key(prepared, keys, NEWEST_FIRST), keys, "event_date",
+        update_condition=GUARD_NEWER, touched=dates, moves_partition=not fixed_date, **deletes,
     )
     return dates
 
@@ -42,11 +51,12 @@ def working_upsert(
     raw_path: str,
     working_path: str,
     ingestion_date: date | str | None = None,
+    key: tuple[str, ...] = params.DEDUP_KEY,
     apply_deletes: bool = False,
 ) -> list[date]:
     """One raw ingestion day, flattened and validated, into the working table."""
     flat = flatten_raw(scan_day(spark, raw_path, ingestion_date), apply_deletes)
-    return upsert_events(spark, working_path, prepare(valid(flat)), apply_deletes)
+    return upsert_events(spark, working_path, prepare(valid(flat), key), key, apply_deletes)
 
 
 def working_quality(

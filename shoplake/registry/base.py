@@ -8,6 +8,7 @@ from shoplake.operators.gold import agg_daily_events, agg_product_daily, fact_ev
 from shoplake.operators.validation import valid
 from shoplake.operators.working import prepare
 from shoplake.sources.adapter import click_events, order_events
+from shoplake.workspace import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +46,11 @@ def comparable(rows: DataFrame) -> DataFrame:
 def query(name: str, oracle: str | None = None):
     """Registers a query under ``name`` with the SQL body it must agree with."""
     def register(build: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: comparable(build(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
+            return comparable(build(spark, folder))
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = PRELUDE + oracle
         return build

@@ -78,7 +78,7 @@ def cdc_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("decode_decimal", """
-SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS price,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_extendedprice AS DOUBLE) AS price,
   CAST(-l_extendedprice AS DOUBLE) AS refund FROM lineitem""")
 def decode_decimal_query(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")

@@ -25,7 +25,7 @@ def _stored_facts(spark: SparkSession, folder: str, label: str) -> str:
 
 # --- reading ---------------------------------------------------------------
 
-@query("scan_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query("scan_table", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity FROM lineitem")
 def scan_table(spark: SparkSession, folder: str) -> DataFrame:
     lines = table_sources.scan(spark, f"{folder}/lineitem.parquet")
     return lines.select("l_orderkey", "l_linenumber", "l_quantity")

@@ -206,7 +206,7 @@ def stream_route_invalid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("dlq_invalid", f"""
-SELECT event_type, user_id, product_id, invalid_reasons, 'validation_failed' AS dlq_reason, 7 AS dlq_batch_id,
+SELECT event_type, user_id, product_id, invalid_reasons, 'validation_failed' AS dlq_reason, CAST(7 AS BIGINT) AS dlq_batch_id,
   '2024-02-01T00:00:00.000Z' AS dlq_timestamp FROM ({FLAGGED_SQL}) WHERE NOT is_valid_record""")
 def dlq_invalid(spark: SparkSession, folder: str) -> DataFrame:
     letters = dead_letters(
@@ -219,7 +219,7 @@ def dlq_invalid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("dlq_write_failure", f"""
-SELECT event_type, user_id, product_id, NULL AS invalid_reasons,
+SELECT event_type, user_id, product_id, CAST(NULL AS VARCHAR) AS invalid_reasons,
   'serving_write_failed: serving table unavailable' AS dlq_reason, true AS same_batch, true AS stamped FROM (
   SELECT DISTINCT {SECOND_SQL} AS event_time, event_type, user_id, product_id FROM good)""")
 def dlq_write_failure(spark: SparkSession, folder: str) -> DataFrame:

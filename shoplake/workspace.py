@@ -26,6 +26,17 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def tune(spark: SparkSession) -> None:
+    """Session settings the jobs rely on.
+
+    Adaptive execution sizes shuffles and splits hot keys of joins. The second
+    setting makes it do so even where the split costs another shuffle, as when
+    the next step groups by the join key.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh folder below the shared root."""
     return f"{shared_root(spark)}/shoplake/{label}-{uuid.uuid4().hex}"
