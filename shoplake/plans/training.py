@@ -33,17 +33,27 @@ class Ratings:
     products: DataFrame
 
 
-def ratings(events: DataFrame) -> Ratings:
-    """(userId, productId, rating) of every user-product pair."""
-    scores = interactions.interaction_scores(events)
-    users = interactions.id_map(events, "user_id", "user_idx")
-    products = interactions.id_map(events, "product_id", "product_idx")
+def ratings(events: DataFrame, folder: str) -> Ratings:
+    """(userId, productId, rating) of every user-product pair, kept as tables in ``folder``.
+
+    The scores are stored first: ids and ratings then come from one row per
+    pair instead of from the events.
+    """
+    spark = events.sparkSession
+
+    def stored(name: str, rows: DataFrame) -> DataFrame:
+        write_table(rows, f"{folder}/{name}", "overwrite")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    scores = stored("scores", interactions.interaction_scores(events))
+    users = stored("users", interactions.id_map(scores, "user_id", "user_idx"))
+    products = stored("products", interactions.id_map(scores, "product_id", "product_idx"))
     rows = scores.join(users, "user_id").join(products, "product_id").select(
         F.col("user_idx").cast("int").alias("userId"),
         F.col("product_idx").cast("int").alias("productId"),
         F.col("log_score").cast("float").alias("rating"),
     )
-    return Ratings(rows, users, products)
+    return Ratings(stored("ratings", rows), users, products)
 
 
 def fit_recommender(
@@ -83,32 +93,32 @@ def with_original_ids(rows: DataFrame, indexed: Ratings) -> DataFrame:
 def train_recommender(events: DataFrame, folder: str, k: int = params.TOP_K, **model_options) -> DataFrame:
     """Fits, evaluates and saves the recommender, its lists and its metadata; returns the metrics."""
     spark = events.sparkSession
-    indexed = ratings(events)
-    for name, rows in (("ratings", indexed.rows), ("users", indexed.users), ("products", indexed.products)):
-        write_table(rows, f"{folder}/{name}", "overwrite")
-    stored = Ratings(*[spark.read.parquet(f"{folder}/{n}") for n in ("ratings", "users", "products")])
-
-    training, test = interactions.random_split(stored.rows)
+    indexed = ratings(events, folder)
+    training, test = interactions.random_split(indexed.rows)
     model = fit_recommender(training, **model_options)
     save_model(model, f"{folder}/model")
 
     write_table(
-        recommend(model, stored, k), f"{folder}/recommendations", "overwrite", cluster_by=["user_id"]
+        recommend(model, indexed, k), f"{folder}/recommendations", "overwrite", cluster_by=["user_id"]
     )
     recs = spark.read.parquet(f"{folder}/recommendations")
-    truth = with_original_ids(test, stored)
+    truth = with_original_ids(test, indexed)
     metrics = ranking.ranking_metrics(recs, truth, k).first().asDict()
     metrics |= ranking.hit_rate(recs, truth).first().asDict()
-    metrics |= ranking.item_coverage(recs, stored.products).first().asDict()
+    metrics |= ranking.item_coverage(recs, indexed.products).first().asDict()
 
     write_table(popularity.popular_items(events), f"{folder}/popular_items", "overwrite")
     write_table(
         popularity.popular_by_category(events), f"{folder}/popular_by_category", "overwrite",
         ["category_code"],
     )
+    options = {
+        "rank": params.ALS_RANK, "iterations": params.ALS_ITERATIONS,
+        "regularization": params.ALS_REGULARIZATION, "alpha": params.ALS_ALPHA, **model_options,
+    }
     described = {
-        "model_type": "ALS", "rank": model.rank, "num_users": stored.users.count(),
-        "num_products": stored.products.count(), **model_options, **metrics,
+        "model_type": "ALS", "num_users": indexed.users.count(),
+        "num_products": indexed.products.count(), **options, **metrics,
     }
     save_metadata(spark, described, f"{folder}/metadata")
     return spark.read.parquet(f"{folder}/metadata")
@@ -192,9 +202,13 @@ def train_classifier(
     metrics = class_metrics.multiclass_metrics(predictions).first().asDict()
     metrics |= class_metrics.precision_at_k(predictions).first().asDict()
     metrics |= class_metrics.log_loss(predictions).first().asDict()
+    forest = model.stages[-1]
     described = {
         "model_type": "RandomForestClassifier", "total_records": stored.count(),
-        "training_time_secs": round(seconds, 2), **forest_options, **metrics,
+        "training_time_secs": round(seconds, 2),
+        "num_trees": forest.getNumTrees, "max_depth": forest.getMaxDepth(),
+        "max_bins": forest.getMaxBins(), "subsampling_rate": forest.getSubsamplingRate(),
+        "feature_subset_strategy": forest.getFeatureSubsetStrategy(), **metrics,
     }
     save_metadata(spark, described, f"{folder}/metadata")
     return spark.read.parquet(f"{folder}/metadata")

@@ -17,6 +17,7 @@ from shoplake.operators import ranking, recommendations
 from shoplake.plans import training
 from shoplake.registry.base import EVENT_SQL, query, valid_events, valid_orders
 from shoplake.sinks import models
+from shoplake.sinks.tables import write_table
 from shoplake.sources.adapter import table
 from shoplake.workspace import new_folder
 
@@ -267,14 +268,14 @@ def item_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("als_recs")
 def als_recs(spark: SparkSession, folder: str) -> DataFrame:
-    indexed = training.ratings(valid_events(spark, folder))
+    indexed = training.ratings(valid_events(spark, folder), new_folder(spark, "als_recs"))
     model = training.fit_recommender(indexed.rows, **ALS_SIZE)
     return training.recommend(model, indexed)
 
 
 @query("als_recs_orders")
 def als_recs_orders(spark: SparkSession, folder: str) -> DataFrame:
-    indexed = training.ratings(valid_orders(spark, folder))
+    indexed = training.ratings(valid_orders(spark, folder), new_folder(spark, "als_recs_orders"))
     model = training.fit_recommender(indexed.rows, **ALS_SIZE)
     return training.recommend(model, indexed)
 
@@ -285,7 +286,8 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "models")
     events = valid_events(spark, folder)
 
-    recommender = training.fit_recommender(training.ratings(events).rows, **ALS_SIZE)
+    ratings = training.ratings(events, f"{path}/tables").rows
+    recommender = training.fit_recommender(ratings, **ALS_SIZE)
     models.save_model(recommender, f"{path}/als")
     users = models.load_model(ALSModel, f"{path}/als").userFactors.agg(F.count(F.lit(1)).alias("size"))
 
@@ -296,7 +298,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count_distinct("brand_idx").alias("size"))
     )
 
-    frame = features.training_frame(events)
+    frame = _stored_frame(spark, folder)
     models.save_model(training.fit_classifier(frame, **FOREST_SIZE), f"{path}/pipeline")
     loaded = models.load_model(PipelineModel, f"{path}/pipeline")
     assert isinstance(loaded.stages[-1], RandomForestClassificationModel)
@@ -464,9 +466,15 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- classifier model ------------------------------------------------------
 
+def _stored_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """The training frame as a table, as fitting reads it many times."""
+    path = new_folder(spark, "training_frame")
+    write_table(features.training_frame(valid_events(spark, folder)), path, "overwrite")
+    return spark.read.parquet(path)
+
+
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    frame = features.training_frame(valid_events(spark, folder))
-    split = interactions.hash_split(frame, ("event_id",))
+    split = interactions.hash_split(_stored_frame(spark, folder), ("event_id",))
     model = training.fit_classifier(split.where("is_train"), **FOREST_SIZE)
     return training.score_purchases(model.transform(split.where("NOT is_train")))
 

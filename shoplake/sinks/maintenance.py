@@ -4,7 +4,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from shoplake.sinks.tables import in_partitions, overwrite_partitions, partition_values
+from shoplake.sinks.tables import (
+    in_partitions, overwrite_partitions, partition_values, table_files,
+)
 from shoplake.workspace import session_settings
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -13,13 +15,7 @@ Z_BITS = 6
 
 def file_sizes(spark: SparkSession, path: str, partition_column: str) -> DataFrame:
     """Files and bytes per partition, from the file listing alone (no data is read)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(partition_column, "length")
-    )
-    return files.groupBy(partition_column).agg(
+    return table_files(spark, path).groupBy(partition_column).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
 
@@ -104,10 +100,13 @@ def z_ordered(rows: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> Da
     numbers = {c: _as_number(c, kinds[c]) for c in columns}
     steps = [n / 2 ** bits for n in range(1, 2 ** bits)]
     found = rows.agg(*[F.percentile_approx(n, steps, 10_000).alias(c) for c, n in numbers.items()]).first()
-    indexes = [
-        _quantile_index(number, sorted(set(found[c] or []))) for c, number in numbers.items()
-    ]
-    return rows.withColumn("_z", z_value(indexes, bits))
+    # Columns of their own, so each index is computed once and not once per bit.
+    indexes = {
+        f"_index_{n}": _quantile_index(number, sorted(set(found[c] or [])))
+        for n, (c, number) in enumerate(numbers.items())
+    }
+    indexed = rows.withColumns(indexes)
+    return indexed.withColumn("_z", z_value([F.col(n) for n in indexes], bits)).drop(*indexes)
 
 
 def zorder_table(

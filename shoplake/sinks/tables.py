@@ -58,20 +58,22 @@ def append_batch(
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
-def _file_system(spark: SparkSession, path: str):
+def table_exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    files, location = _file_system(spark, path)
-    return files.exists(location)
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data file with its path, length and partition values; no data is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.drop("content", "modificationTime")
 
 
-def _drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    text = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    files, location = _file_system(spark, f"{path}/{column}={text}")
-    files.delete(location, True)
+def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    gone = table_files(spark, path).where(in_partitions(column, values)).select("path")
+    for row in gone.collect():
+        location = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, False)
 
 
 def partition_values(rows: DataFrame, column: str) -> list:
@@ -125,9 +127,9 @@ def upsert_table(
 
     # A partition can end up empty, and the overwrite leaves such a one alone:
     # it is removed after the rewrite. Repeating the whole upsert is harmless.
-    emptied = set()
+    emptied = []
     if moves_partition or delete_condition is not None:
-        emptied = values - set(partition_values(merged, partition_column))
+        emptied = list(values - set(partition_values(merged, partition_column)))
     overwrite_partitions(merged, path, [partition_column])
-    for value in emptied:
-        _drop_partition(spark, path, partition_column, value)
+    if emptied:
+        _drop_partitions(spark, path, partition_column, emptied)
