@@ -41,9 +41,9 @@ def id_map(rows: DataFrame, column: str, index: str, hex_digits: int = 3) -> Dat
     broadcast, so the values themselves stay distributed.
     """
     values = rows.select(column).where(F.col(column).isNotNull()).distinct()
-    bucketed = values.withColumn(
-        "_bucket", F.substring(F.md5(F.col(column).cast("string")), 1, hex_digits)
-    )
+    bucket = F.substring(F.md5(F.col(column).cast("string")), 1, hex_digits)
+    # The join below implies this filter; stating it lets both uses share one shuffle.
+    bucketed = values.withColumn("_bucket", bucket).where(F.col("_bucket").isNotNull())
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         bucketed.groupBy("_bucket")

@@ -36,11 +36,13 @@ def upsert_events(
     dates = partition_values(prepared, "event_date")
     fixed_date = "event_time" in key
     keys = ("event_key", "event_date") if fixed_date else ("event_key",)
+    # Keys are never null; saying so lets both joins of the merge share one shuffle.
+    keyed = prepared.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
     deletes = {}
     if apply_deletes:
         deletes = {"delete_condition": IS_DELETED, "insert_condition": f"NOT {IS_DELETED}"}
     upsert_table(
-        spark, working_path, newest_per_key(prepared, keys, NEWEST_FIRST), keys, "event_date",
+        spark, working_path, newest_per_key(keyed, keys, NEWEST_FIRST), keys, "event_date",
         update_condition=GUARD_NEWER, touched=dates, moves_partition=not fixed_date, **deletes,
     )
     return dates

@@ -2,8 +2,6 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from shoplake.sinks.tables import append_batch
-
 
 def dead_letters(rows: DataFrame, batch_id: int, reason: str, at=None) -> DataFrame:
     """One JSON ``value`` per row, including batch id, reason and time of the rejection."""
@@ -24,7 +22,3 @@ def write_kafka(values: DataFrame, servers: str, topic: str) -> None:
 def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Appends to a serving database. Needs its JDBC driver on the class path (untested here)."""
     rows.write.mode("append").jdbc(url, table, properties=properties)
-
-
-def write_files(rows: DataFrame, path: str, batch_id: int) -> None:
-    append_batch(rows, path, batch_id)

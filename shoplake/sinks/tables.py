@@ -51,11 +51,15 @@ def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]
 def append_batch(
     rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()
 ) -> None:
-    """Appends one micro-batch under its id, so a replayed batch replaces itself.
+    """Appends one micro-batch under its stream and batch id, so a replayed batch replaces itself.
 
+    The stream's id lives in its checkpoint: a stream started over with a new
+    checkpoint counts its batches from 0 again and must not replace old ones.
     The tasks that hold the batch write it as it is, without another shuffle.
     """
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+    stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    folder = f"{path}/stream={stream}/batch_id={batch_id}"
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

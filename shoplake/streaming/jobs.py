@@ -7,8 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplake.workspace import session_settings
 
-# Keeps large dedup and aggregation state on local disk instead of the heap.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Keeps large dedup and aggregation state on local disk instead of the heap, and
+# saves only its changes with each batch.
+STATE_SETTINGS = {
+    "spark__sql__streaming__stateStore__providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+}
 
 
 def start_batches(
@@ -49,7 +54,7 @@ def start_parquet(
 
 
 def _start(writer, stream: DataFrame, state_partitions: int | None) -> StreamingQuery:
-    settings = {"spark__sql__streaming__stateStore__providerClass": STATE_STORE}
+    settings = dict(STATE_SETTINGS)
     if state_partitions is not None:
         settings["spark__sql__shuffle__partitions"] = str(state_partitions)
     with session_settings(stream.sparkSession, **settings):

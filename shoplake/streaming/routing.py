@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplake import params
 from shoplake.operators.parsing import parse_events
 from shoplake.operators.validation import invalid, valid
-from shoplake.sinks.messages import dead_letters
+from shoplake.sinks.messages import dead_letters, write_jdbc, write_kafka
 from shoplake.sinks.tables import append_batch
 from shoplake.streaming.dedup import deduplicated, untimed
 from shoplake.streaming.jobs import start_batches
@@ -27,6 +27,17 @@ def serve_files(path: str) -> ServeValid:
     return lambda rows, batch_id: append_batch(rows, path, batch_id)
 
 
+def serve_jdbc(url: str, table: str, properties: dict[str, str]) -> ServeValid:
+    """Appends to a database table. A replayed batch is appended again, so the table must
+    tolerate copies (untested here: needs a database)."""
+    return lambda rows, batch_id: write_jdbc(rows, url, table, properties)
+
+
+def dead_letter_topic(servers: str, topic: str) -> ServeDead:
+    """Sends dead letters to a Kafka topic (untested here: needs a broker)."""
+    return lambda values, batch_id, kind: write_kafka(values, servers, topic)
+
+
 def dead_letter_files(path: str) -> ServeDead:
     return lambda values, batch_id, kind: append_batch(values, f"{path}/kind={kind}", batch_id)
 

@@ -124,6 +124,14 @@ def test_raw_ingest_reads_each_message_once(spark, messages, tmp_path):
     assert {str(r.ingestion_date) for r in rows.collect()} == {"2024-02-01"}
 
 
+def test_new_checkpoint_does_not_replace_old_batches(spark, messages, tmp_path):
+    topic, raw = Topic(spark, messages, tmp_path / "in"), str(tmp_path / "raw")
+    topic.send("first")
+    for name in ("a", "a", "b"):
+        run(ingest.raw_ingest(topic.stream(), raw, str(tmp_path / name)))
+    assert spark.read.parquet(raw).count() == 2
+
+
 def test_maintained_rollups_equal_batch_rollups(spark, messages, tmp_path):
     topic, path = Topic(spark, messages, tmp_path / "in"), str(tmp_path / "views")
     sent = []
