@@ -5,8 +5,6 @@ from pyspark.sql import DataFrame, functions as F
 from shoplake import params, schemas
 from shoplake.functions.binary import decode_decimal
 
-BROKER_COLUMNS = ("topic", "partition", "offset", "timestamp")
-
 
 def parse_events(
     messages: DataFrame,

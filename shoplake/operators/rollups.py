@@ -86,10 +86,9 @@ def realtime_dashboard(events: DataFrame, width: str = DASHBOARD_WINDOW) -> Data
     Visits are folded first, as in the daily gold aggregate. The average order
     value is kept as its sum (``revenue_15min``) and count (``purchases``).
     """
-    per_visit = events.groupBy(
-        F.window("event_time", width).alias("slot"), "user_session", "user_id"
-    ).agg(*_dashboard_sums())
-    return per_visit.groupBy(F.col("slot.start").alias("metric_time")).agg(
+    slotted = events.withColumn("metric_time", F.window("event_time", width)["start"])
+    per_visit = slotted.groupBy("metric_time", "user_session", "user_id").agg(*_dashboard_sums())
+    return per_visit.groupBy("metric_time").agg(
         F.sum("total_events").alias("total_events"),
         F.sum("views").alias("views"),
         F.sum("add_to_carts").alias("add_to_carts"),

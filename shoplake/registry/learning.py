@@ -8,7 +8,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shoplake import params
 from shoplake.functions.expressions import stable_hash
@@ -273,6 +273,20 @@ def als_recs(spark: SparkSession, folder: str) -> DataFrame:
     return training.recommend(model, indexed)
 
 
+@query("als_recs_shape", f"""
+SELECT user_id, least({TOP_K}, (SELECT count(DISTINCT product_id) FROM good)) AS recommended, 1 AS first_rank,
+  true AS best_first FROM good GROUP BY user_id""")
+def als_recs_shape(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for the recommender's lists whatever the factors are."""
+    ranked = Window.partitionBy("user_id").orderBy("rank")
+    recs = als_recs(spark, folder).withColumn("before", F.lag("score").over(ranked))
+    return recs.groupBy("user_id").agg(
+        F.count_distinct("product_id").alias("recommended"),
+        F.min("rank").alias("first_rank"),
+        F.every(F.coalesce(F.col("before") >= F.col("score"), F.lit(True))).alias("best_first"),
+    )
+
+
 @query("als_recs_orders")
 def als_recs_orders(spark: SparkSession, folder: str) -> DataFrame:
     indexed = training.ratings(valid_orders(spark, folder), new_folder(spark, "als_recs_orders"))
@@ -280,7 +294,10 @@ def als_recs_orders(spark: SparkSession, folder: str) -> DataFrame:
     return training.recommend(model, indexed)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", """
+SELECT 'als' AS model, count(DISTINCT user_id) AS size FROM good
+UNION ALL SELECT 'indexer', count(DISTINCT brand) FROM good
+UNION ALL SELECT 'pipeline', count(*) FROM good""")
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Recommender, indexer and pipeline saved and loaded; one row per model with what it does."""
     path = new_folder(spark, "models")
@@ -309,13 +326,15 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-@query("model_metadata")
+@query("model_metadata", """
+SELECT 'model_type' AS key, 'ALS' AS value UNION ALL SELECT 'rank', '150'
+UNION ALL SELECT 'total_records', CAST(count(*) AS VARCHAR) FROM good""")
 def model_metadata(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "model_metadata")
     trained_on = valid_events(spark, folder).count()
     described = {"model_type": "ALS", "rank": params.ALS_RANK, "total_records": trained_on}
     models.save_metadata(spark, described, path)
-    return models.load_metadata(spark, path)
+    return models.load_metadata(spark, path).where(F.col("key") != "saved_at")
 
 
 @query("train_recommender")
@@ -484,6 +503,20 @@ def rf_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(spark, folder).select("event_id", "label", "prediction", "probabilities")
 
 
+@query("rf_predictions_shape", """
+SELECT event_id, CASE event_type WHEN 'purchase' THEN CAST(2 AS DOUBLE) WHEN 'cart' THEN 1 ELSE 0 END AS label,
+  true AS known_class, true AS adds_up
+FROM good WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 >= 8000""")
+def rf_predictions_shape(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for the classifier's output whatever the trees are."""
+    total = F.aggregate("probabilities", F.lit(0.0), lambda so_far, p: so_far + p)
+    return _scored(spark, folder).select(
+        "event_id", "label",
+        F.col("prediction").isin(*class_metrics.CLASSES).alias("known_class"),
+        (F.abs(total - 1) < 1e-9).alias("adds_up"),
+    )
+
+
 @query("purchase_scores")
 def purchase_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(spark, folder).select("event_id", "label", "prob_purchase")

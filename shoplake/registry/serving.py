@@ -95,6 +95,25 @@ def mv_daily_kpi_hll(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.estimate_sketches(rollups.merge_states(states, "daily"))
 
 
+@query("mv_daily_kpi_hll_error", f"""
+SELECT {KPI_SUMS}, true AS users_close, true AS buyers_close FROM ({KPI_SQL})""")
+def mv_daily_kpi_hll_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketch estimates beside the exact counts: within five percent."""
+    def close(estimate: str, exact: str):
+        return F.abs(F.col(estimate) - F.col(exact)) <= 0.05 * F.col(exact)
+
+    exact = mv_daily_kpi(spark, folder).select(
+        "event_date",
+        F.col("daily_unique_users").alias("users"),
+        F.col("unique_users_buy").alias("buyers"),
+    )
+    return mv_daily_kpi_hll(spark, folder).join(exact, "event_date").select(
+        "event_date", "total_revenue", "total_purchases", "total_views", "total_carts",
+        close("daily_unique_users", "users").alias("users_close"),
+        close("unique_users_buy", "buyers").alias("buyers_close"),
+    )
+
+
 @query("mv_product_performance", f"SELECT {PERFORMANCE_COLUMNS} FROM ({PERFORMANCE_SQL})")
 def mv_product_performance(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.product_performance(valid_events(spark, folder))

@@ -6,6 +6,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from shoplake import params
+
 _local_root = None
 
 
@@ -29,10 +31,11 @@ def shared_root(spark: SparkSession) -> str:
 def tune(spark: SparkSession) -> None:
     """Session settings the jobs rely on.
 
-    Adaptive execution sizes shuffles and splits hot keys of joins. The second
-    setting makes it do so even where the split costs another shuffle, as when
-    the next step groups by the join key.
+    Event dates are UTC days. Adaptive execution sizes shuffles and splits hot
+    keys of joins; the last setting makes it do so even where the split costs
+    another shuffle, as when the next step groups by the join key.
     """
+    spark.conf.set("spark.sql.session.timeZone", params.TIMEZONE)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 

@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplake import params
-from shoplake.operators import working
+from shoplake.operators import validation, working
 from shoplake.operators.merge import merge_rows
+from shoplake.operators.parsing import to_raw
 from shoplake.plans import medallion
 from shoplake.sinks import maintenance, tables
+from shoplake.sources.messages import change_messages
 from shoplake.sources.tables import csv_events, scan_day
+from shoplake.workspace import session_settings
 
 
 def files(path, partition):
@@ -204,3 +207,28 @@ def test_gold_refresh_recomputes_whole_dates(spark, events, tmp_path):
         assert (days["2024-01-01"].total_events, str(days["2024-01-01"].total_revenue)) == (3, "20.00")
         assert days["2024-01-02"].total_events == 1
         assert spark.read.parquet(f"{gold}/fact_events").count() == 4
+
+
+def test_working_zone_from_raw_messages(spark, events, tmp_path):
+    raw, path = str(tmp_path / "raw"), str(tmp_path / "working")
+    rows = events({}, {"user_id": 8}, {"price": None}).withColumn("n", F.monotonically_increasing_id())
+    for day in ("2024-03-01", "2024-03-02"):
+        tables.write_table(to_raw(change_messages(rows, offset="n"), f"{day} 06:00:00"), raw, partition_by=["ingestion_date"])
+    quality = medallion.working_quality(spark, raw, "2024-03-01").first()
+    assert (quality.total_records, quality.valid_records, quality.invalid_price) == (3, 2, 1)
+    for day in ("2024-03-01", "2024-03-02"):
+        assert medallion.working_upsert(spark, raw, path, day) == [date(2024, 1, 1)]
+    assert spark.read.parquet(path).count() == 2
+    assert medallion.ingested_dates(spark, path, "2024-03-02") == [date(2024, 1, 1)]
+    assert medallion.ingested_dates(spark, path, "2024-03-01") == []
+
+
+def test_rules_reach_the_scan(spark, events, tmp_path):
+    path = str(tmp_path / "t")
+    events({}).write.parquet(path)
+    with session_settings(spark, spark__sql__maxMetadataStringLength="2000"):
+        plan = validation.valid(spark.read.parquet(path)).select("user_id")._jdf.queryExecution().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    for part in ("GreaterThan(user_id,0)", "In(event_type", "GreaterThanOrEqual(price,0.01)"):
+        assert part in pushed
+    assert "user_session" not in plan[plan.index("ReadSchema"):]
