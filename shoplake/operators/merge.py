@@ -24,9 +24,12 @@ def merge_rows(
 
     The conditions are SQL over ``source.`` and ``target.`` columns; a null
     condition does not hold and null keys match nothing. ``source`` must hold
-    one row per key. Both joins keep the big side on the left, so a small
-    source is broadcast without shuffling the target, and otherwise AQE can
-    split a hot key of the target.
+    one row per key and is read three times.
+
+    The target stands on the left of its joins, so a small source is broadcast
+    and the target is not shuffled at all; otherwise AQE can split a hot key of
+    the target. What to insert is found from the matched keys, which are no
+    more than the source has.
     """
     columns = target.columns
     old, new = target.alias("target"), source.alias("source")
@@ -45,8 +48,8 @@ def merge_rows(
         for c in columns
     ])
 
-    old_keys = target.select(*keys).alias("target")
-    fresh = new.join(old_keys, _same_key(keys), "left_anti")
+    matched_keys = old.join(new, _same_key(keys), "left_semi").select(*keys).distinct()
+    fresh = new.join(matched_keys.alias("target"), _same_key(keys), "left_anti")
     if insert_condition is not None:
         fresh = fresh.where(holds(insert_condition))
     return kept.unionByName(fresh.select(*columns))

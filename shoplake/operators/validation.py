@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplake import params
 
+# Columns a valid record always has.
+REQUIRED = {"price", "event_type", "product_id", "user_id", "event_time", "category_id"}
+
 
 def rules(
     price_min: Decimal = params.PRICE_MIN,

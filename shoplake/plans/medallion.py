@@ -9,7 +9,7 @@ from shoplake import params
 from shoplake.operators.gold import agg_daily_events, agg_product_daily, fact_events
 from shoplake.operators.merge import GUARD_NEWER
 from shoplake.operators.parsing import flatten_raw
-from shoplake.operators.validation import quality_counts, valid
+from shoplake.operators.validation import REQUIRED, quality_counts, valid
 from shoplake.operators.working import NEWEST_FIRST, newest_per_key, prepare
 from shoplake.sinks.tables import (
     in_partitions, overwrite_partitions, partition_values, upsert_table,
@@ -29,23 +29,22 @@ def upsert_events(
     """Merges prepared events into the working table and returns the event dates they carry.
 
     Copies inside the batch are reduced to the newest first. A key with the
-    event time fixes the date, so the merge stays inside the batch's dates and
-    deduplication and join share one partitioning. The dates come from the rows
-    before deduplication: every copy of such a key has the same one.
+    event time fixes the date, so the merge stays inside the batch's dates.
+    Rows are matched by the key's own columns where those are never null: they
+    sort and hash far faster than their joined text ``event_key``, whose first
+    characters are all alike.
     """
-    dates = partition_values(prepared, "event_date")
     fixed_date = "event_time" in key
-    keys = ("event_key", "event_date") if fixed_date else ("event_key",)
-    # Keys are never null; saying so lets both joins of the merge share one shuffle.
-    keyed = prepared.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    keys = tuple(key) if set(key) <= REQUIRED else ("event_key",)
+    if fixed_date:
+        keys += ("event_date",)
     deletes = {}
     if apply_deletes:
         deletes = {"delete_condition": IS_DELETED, "insert_condition": f"NOT {IS_DELETED}"}
-    upsert_table(
-        spark, working_path, newest_per_key(keyed, keys, NEWEST_FIRST), keys, "event_date",
-        update_condition=GUARD_NEWER, touched=dates, moves_partition=not fixed_date, **deletes,
+    return upsert_table(
+        spark, working_path, newest_per_key(prepared, keys, NEWEST_FIRST), keys, "event_date",
+        update_condition=GUARD_NEWER, moves_partition=not fixed_date, **deletes,
     )
-    return dates
 
 
 def working_upsert(

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplake.operators.merge import merge_rows
+from shoplake.workspace import new_folder
 
 
 def _balanced(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,9 +63,19 @@ def append_batch(
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def _location(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _location(spark, path)
+    return files.exists(location)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, location = _location(spark, path)
+    files.delete(location, True)
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:
@@ -76,8 +87,7 @@ def table_files(spark: SparkSession, path: str) -> DataFrame:
 def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
     gone = table_files(spark, path).where(in_partitions(column, values)).select("path")
     for row in gone.collect():
-        location = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, False)
+        _remove(spark, row["path"])
 
 
 def partition_values(rows: DataFrame, column: str) -> list:
@@ -102,15 +112,44 @@ def upsert_table(
     insert_condition: str | None = None,
     delete_condition: str | None = None,
     moves_partition: bool = False,
-    touched: Sequence | None = None,
+) -> list:
+    """Merges ``source`` (one row per key) into the table and returns its partition values.
+
+    The source is stored once in the shared folder: the merge reads it several
+    times, and its stored size tells Spark whether to broadcast it.
+    """
+    staged = new_folder(spark, "upsert")
+    try:
+        write_table(source, staged, "overwrite", [partition_column])
+        values = partition_values(table_files(spark, staged), partition_column)
+        if values:
+            _merge_into(
+                spark, path, spark.read.schema(source.schema).parquet(staged), values, keys,
+                partition_column, update_condition, insert_condition, delete_condition, moves_partition,
+            )
+        return values
+    finally:
+        _remove(spark, staged)
+
+
+def _merge_into(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    source_values: list,
+    keys: Sequence[str],
+    partition_column: str,
+    update_condition: str | None,
+    insert_condition: str | None,
+    delete_condition: str | None,
+    moves_partition: bool,
 ) -> None:
-    """Merges ``source`` (one row per key) into the table, rewriting touched partitions only.
+    """Rewrites the touched partitions of the table, or creates it.
 
     By default the key determines the partition, so matches lie in the source's
-    own partitions (``touched``, if the caller knows them already) and only
-    those are read. With ``moves_partition`` a match may lie anywhere: the
-    table's keys are searched first, and the partitions that rows leave are
-    rewritten too.
+    own partitions and only those are read. With ``moves_partition`` a match may
+    lie anywhere: the table's keys are searched first, and the partitions that
+    rows leave are rewritten too.
     """
     if not table_exists(spark, path):
         fresh = source.alias("source")
@@ -120,7 +159,7 @@ def upsert_table(
         return
 
     target = spark.read.parquet(path)
-    values = set(partition_values(source, partition_column) if touched is None else touched)
+    values = set(source_values)
     if moves_partition:
         matched = target.join(source.select(*keys), list(keys), "left_semi")
         values |= set(partition_values(matched, partition_column))

@@ -232,3 +232,20 @@ def test_rules_reach_the_scan(spark, events, tmp_path):
     for part in ("GreaterThan(user_id,0)", "In(event_type", "GreaterThanOrEqual(price,0.01)"):
         assert part in pushed
     assert "user_session" not in plan[plan.index("ReadSchema"):]
+
+
+def test_upsert_by_a_key_with_missing_values(spark, events, tmp_path):
+    path, key = str(tmp_path / "working"), ("event_time", "user_session")
+    for price in ("1.00", "2.00"):
+        rows = batch(events, {"user_session": None, "price": price}, {"user_session": "x"}, key=key)
+        medallion.upsert_events(spark, path, rows, key)
+    assert sorted(str(r.price) for r in spark.read.parquet(path).collect()) == ["2.00", "9.99"]
+
+
+def test_upsert_of_an_empty_batch(spark, events, tmp_path):
+    path = str(tmp_path / "working")
+    empty = batch(events, {}).where("false")
+    assert medallion.upsert_events(spark, path, empty) == []
+    medallion.upsert_events(spark, path, batch(events, {}))
+    assert medallion.upsert_events(spark, path, empty) == []
+    assert spark.read.parquet(path).count() == 1
