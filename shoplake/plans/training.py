@@ -64,7 +64,11 @@ def fit_recommender(
     alpha: float = params.ALS_ALPHA,
     blocks: int | None = None,
 ) -> ALSModel:
-    """Implicit-feedback ALS; long runs cut their lineage at the checkpoint folder."""
+    """Implicit-feedback ALS; long runs cut their lineage at the checkpoint folder.
+
+    The rank has to stay below the number of users and of products, or users
+    whose ratings are all 0 have no unique factors and the fit fails.
+    """
     use_checkpoints(training.sparkSession)
     if blocks is None:
         blocks = training.sparkSession.sparkContext.defaultParallelism * params.ALS_BLOCK_FACTOR

@@ -24,8 +24,9 @@ from shoplake.workspace import new_folder
 TOP_K = params.TOP_K
 TOP_N = 3
 
-# Small models for the registered queries; jobs use the values in params.
-ALS_SIZE = {"rank": 16, "iterations": 5, "blocks": 4}
+# Small models for the registered queries; jobs use the values in params. The rank
+# stays below the number of users in the smallest tables.
+ALS_SIZE = {"rank": 8, "iterations": 5, "blocks": 4}
 FOREST_SIZE = {"trees": 16, "depth": 6}
 
 

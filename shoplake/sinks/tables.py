@@ -121,11 +121,12 @@ def upsert_table(
     staged = new_folder(spark, "upsert")
     try:
         write_table(source, staged, "overwrite", [partition_column])
-        values = partition_values(table_files(spark, staged), partition_column)
+        stored = spark.read.schema(source.schema).parquet(staged)
+        values = partition_values(stored, partition_column)
         if values:
             _merge_into(
-                spark, path, spark.read.schema(source.schema).parquet(staged), values, keys,
-                partition_column, update_condition, insert_condition, delete_condition, moves_partition,
+                spark, path, stored, values, keys, partition_column,
+                update_condition, insert_condition, delete_condition, moves_partition,
             )
         return values
     finally:
