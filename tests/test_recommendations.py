@@ -90,8 +90,8 @@ def test_lookups(tiers):
 
 def test_metrics_agree_with_the_evaluator(spark):
     noise = F.pmod(F.xxhash64("user_id", "product_id"), F.lit(1000))
-    pairs = spark.range(60).select(F.col("id").alias("user_id")).crossJoin(
-        spark.range(30).select(F.col("id").alias("product_id"))).withColumn("n", noise)
+    products = F.explode(F.sequence(F.lit(0), F.lit(29))).alias("product_id")
+    pairs = spark.range(60).select(F.col("id").alias("user_id"), products).withColumn("n", noise)
     recs = recommendations.top_k_per_user(pairs.where("n % 4 <> user_id % 4"), "n", 12)
     truth = pairs.where("n % 7 = 1").select("user_id", "product_id")
     lists = recs.groupBy("user_id").agg(F.expr("transform(array_sort(collect_list(struct(rank, product_id))), x -> double(x.product_id))").alias("prediction")).join(
