@@ -3,37 +3,59 @@
 A key (a word, a pair of word ids) occurs once in a block however often its
 documents use it, so joining the keys of all blocks with a global table moves
 far fewer rows than joining every position, and a frequent key has at most one
-row for each block. Documents keep the places of their keys as 32-bit numbers.
-A block closes at ``BLOCK_BYTES`` of text; one longer document is a block alone.
+row for each block. The documents' keys are numbers by frequency in the block,
+kept as compressed byte planes. A block closes at ``BLOCK_BYTES`` of text; one
+longer document is a block alone.
 """
 
 import numpy as np
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from shoplake.llm.common import arrow_map, store
 
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 64_000_000
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte by byte, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def expanded(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 def pack(docs: DataFrame, key: str, start, carried: str = "", label: str = "blocks") -> DataFrame:
-    """One stored row for each block: ``block, keys, docs``.
+    """One stored row for each block: ``block, keys, docs, codes``.
 
-    ``docs`` has the text as bytes, then the ``carried`` columns (DDL).
-    ``start()`` gives a function from a text to its keys, in order.
+    Input rows are the text as bytes, then the ``carried`` columns (DDL). ``docs``
+    has those and the number of keys of each document, ``n``. ``codes`` has all
+    documents' keys in order, as places in ``keys``. ``start()`` gives a function
+    from a text to its keys, in order.
     """
     fields = f"{carried}, " if carried else ""
-    schema = f"block bigint, keys array<{key}>, docs array<struct<{fields}codes binary>>"
+    schema = f"block bigint, keys array<{key}>, docs array<struct<{fields}n: int>>, codes binary"
 
     def begin():
         keys_of = start()
-        codes, members = {}, []
+        codes, members, found = {}, [], []
         state = {"bytes": 0, "number": 0, "task": TaskContext.get().partitionId()}
 
         def close():
-            row = (state["task"] << 32 | state["number"], list(codes), list(members))
+            every = np.concatenate(found)
+            order = np.argsort(-np.bincount(every, minlength=len(codes)), kind="stable")
+            rank = np.empty(len(codes), np.int64)
+            rank[order] = np.arange(len(codes))
+            names = list(codes)
+            row = (state["task"] << 32 | state["number"], [names[n] for n in order.tolist()], list(members),
+                   squeezed(rank[every] if len(every) else every))
             codes.clear()
             members.clear()
+            found.clear()
             state.update(bytes=0, number=state["number"] + 1)
             return row
 
@@ -44,9 +66,9 @@ def pack(docs: DataFrame, key: str, start, carried: str = "", label: str = "bloc
                 if members and state["bytes"] + size > BLOCK_BYTES:
                     done.append(close())
                 state["bytes"] += size
-                found = keys_of(text or b"")
-                places = np.fromiter((codes.setdefault(k, len(codes)) for k in found), np.int32, len(found))
-                members.append((*rest, places.tobytes()))
+                own = keys_of(text or b"")
+                found.append(np.fromiter((codes.setdefault(k, len(codes)) for k in own), np.int32, len(own)))
+                members.append((*rest, len(own)))
             return done
 
         step.finish = lambda: [[close()]] if members else []
@@ -60,15 +82,22 @@ def keys(packed: DataFrame) -> DataFrame:
     return packed.select("block", F.posexplode("keys").alias("place", "key"))
 
 
+def by_document(docs: list, codes: bytes):
+    """Each document of a block with the places of its keys."""
+    every, at = expanded(codes), 0
+    for member in docs:
+        yield member, every[at:at + member["n"]]
+        at += member["n"]
+
+
 def unpack(packed: DataFrame, values: DataFrame, schema: str, start) -> DataFrame:
-    """Join values back by position.
+    """Join values back to the documents of their block.
 
-    ``values`` has ``block, place, value``, one row for each key. ``start()``
-    gives a function of (values in place order, documents of the block) that
+    ``start()`` gives a function of (lists of value rows, ``docs``, ``codes``) that
     returns output rows. What meets in one task is one block.
     """
-    by_block = values.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("found"))
-    joined = packed.select("block", "docs").join(by_block, "block", "left").select(
-        F.col("found.value").alias("found"), "docs"
-    )
-    return arrow_map(joined, schema, start, size=1)
+    columns = [c for c in values.columns if c != "block"]
+    by_block = values.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias("found"))
+    joined = packed.select("block", "docs", "codes").join(by_block, "block", "left")
+    parts = [F.col(f"found.{c}").alias(c) for c in columns]
+    return arrow_map(joined.select(*parts, "docs", "codes"), schema, start, size=1)

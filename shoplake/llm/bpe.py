@@ -11,7 +11,9 @@ are not read.
 """
 
 import hashlib
+import itertools
 import os
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -19,9 +21,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
 from shoplake.llm import blocks
-from shoplake.llm.common import arrow_map, table, utf8
+from shoplake.llm.blocks import by_document, expanded, squeezed
+from shoplake.llm.common import CACHED_WORDS, arrow_map, table, utf8
 
 VOCABULARY = "word_bpe_49k.json"
+#: Distinct words are dealt to this many parts.
+PARTS = 256
 
 
 def split(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -30,26 +35,57 @@ def split(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     return blocks.pack(rows, "binary", lambda: bytes.split, "id bigint", "bpe")
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """``block, place, ids``: each distinct word of a partition encoded once."""
+def parts(packed: DataFrame) -> DataFrame:
+    """``part, block, places, words``: the distinct words of blocks, dealt by hash.
+
+    Equal words of all blocks come to one part, each block with one row in it.
+    """
+    def start():
+        def step(names, keys):
+            out = []
+            for block, words in zip(names, keys):
+                dealt = {}
+                for place, word in enumerate(words):
+                    dealt.setdefault(zlib.crc32(word) % PARTS, []).append(place)
+                out.extend((part, block, squeezed(np.array(places)), b"\n".join([words[n] for n in places]))
+                           for part, places in dealt.items())
+            return out
+
+        return step
+
+    schema = "part int, block bigint, places binary, words binary"
+    return arrow_map(packed.select("block", "keys"), schema, start, size=1)
+
+
+def encode_words(dealt: DataFrame, path: str) -> DataFrame:
+    """``block, places, sizes, ids``: the ids of the words, each distinct word encoded once.
+
+    A task remembers the words of its part, up to a bounded number.
+    """
     def start():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(path)
-        last = {}
-
-        def step(block, place, word):
-            new = [w for w in dict.fromkeys(word) if w not in last]
-            encoded = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            found = {w: last[w] for w in dict.fromkeys(word) if w in last}
-            found.update((w, e.ids) for w, e in zip(new, encoded))
-            last.clear()
-            last[word[-1]] = found[word[-1]]  # equal words are neighbours
-            return [(b, p, found[w]) for b, p, w in zip(block, place, word)]
+        tokenizer, known, last = Tokenizer.from_file(path), {}, [None]
+
+        def step(part, block, places, words):
+            out = []
+            for p, b, at, text in zip(part, block, places, words):
+                if p != last[0] or len(known) > CACHED_WORDS:
+                    known.clear()
+                    last[0] = p
+                every = text.split(b"\n")
+                new = [w for w in every if w not in known]
+                encoded = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
+                known.update((w, e.ids) for w, e in zip(new, encoded))
+                ids = [known[w] for w in every]
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(sizes.sum()))
+                out.append((b, at, squeezed(sizes), squeezed(flat)))
+            return out
 
         return step
 
-    together = words.repartition("key").sortWithinPartitions("key")
-    return arrow_map(together.select("block", "place", "key"), "block bigint, place int, ids array<int>", start, size=8192)
+    together = dealt.repartition("part").sortWithinPartitions("part")
+    return arrow_map(together.select("part", "block", "places", "words"), "block bigint, places binary, sizes binary, ids binary", start, size=16)
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -91,7 +127,7 @@ def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str |
 
 def _joined(docs, id, text, path, schema, row) -> DataFrame:
     packed = split(docs, id, text)
-    ids = encode_words(blocks.keys(packed), path).withColumnRenamed("ids", "value")
+    ids = encode_words(parts(packed), path)
     vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
     shared = docs.sparkSession.sparkContext.broadcast({n: piece.encode() for piece, n in vocabulary.items()})
     return blocks.unpack(packed, ids, schema, lambda: _rows(shared.value, row))
@@ -103,21 +139,20 @@ def _rows(piece_of, row):
     The id-to-piece table has a fixed number of rows, so every task joins its
     words' ids with a broadcast copy of it.
     """
-    def step(found, docs):
+    def step(*columns):
         out = []
-        for values, members in zip(found, docs):
-            values = values or []
-            lengths = np.array([len(v) for v in values], np.int64)
-            starts = np.cumsum(lengths) - lengths
-            flat = np.array([n for v in values for n in v], np.int32)
-            decoded = [b" ".join([piece_of[n] for n in v]) for v in values]
-            for member in members:
-                codes = np.frombuffer(member["codes"], np.int32)
-                sizes = lengths[codes]
-                shift = np.repeat(starts[codes] - (np.cumsum(sizes) - sizes), sizes)
-                ids = flat[shift + np.arange(len(shift))]
-                words = [w for w in map(decoded.__getitem__, codes.tolist()) if w]
-                out.append(row(member["id"], ids, words))
+        for places, sizes, ids, docs, codes in zip(*columns):
+            at = np.concatenate([np.empty(0, np.int64), *map(expanded, places or [])]).astype(np.int64)
+            count = np.concatenate([at[:0], *map(expanded, sizes or [])])
+            flat = np.concatenate([at[:0], *map(expanded, ids or [])])
+            lengths, starts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+            lengths[at], starts[at] = count, np.cumsum(count) - count
+            pieces_of = list(map(piece_of.__getitem__, flat.tolist()))
+            words = [b" ".join(pieces_of[s:s + n]) for s, n in zip(starts.tolist(), lengths.tolist())]
+            for member, own in by_document(docs, codes):
+                size = lengths[own]
+                shift = np.repeat(starts[own] - (np.cumsum(size) - size), size)
+                out.append(row(member["id"], flat[shift + np.arange(len(shift))], [w for w in map(words.__getitem__, own.tolist()) if w]))
         return out
 
     return step

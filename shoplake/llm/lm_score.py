@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplake.llm import blocks
+from shoplake.llm.blocks import by_document, expanded
 from shoplake.llm.common import arrow_map, table, utf8
 
 VOCABULARY = 32_768
@@ -85,18 +86,18 @@ def bigrams(rows: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 def block_counts(packed: DataFrame) -> DataFrame:
     """``key, n, n_target`` summed over all blocks."""
     def start():
-        def step(keys, docs):
+        def step(keys, docs, codes):
             out = []
-            for names, members in zip(keys, docs):
-                total = np.zeros((2, len(names)), np.int64)
-                for member in members:
-                    total[member["target"]] += np.bincount(np.frombuffer(member["codes"], np.int32), minlength=len(names))
+            for names, members, data in zip(keys, docs, codes):
+                every = expanded(data)
+                good = np.repeat([m["target"] == 1 for m in members], [m["n"] for m in members])
+                total = np.stack([np.bincount(every[~good], minlength=len(names)), np.bincount(every[good], minlength=len(names))])
                 out.extend(zip(names, total.sum(0).tolist(), total[1].tolist()))
             return out
 
         return step
 
-    parts = arrow_map(packed.select("keys", "docs"), "key bigint, n bigint, n_target bigint", start, size=1)
+    parts = arrow_map(packed.select("keys", "docs", "codes"), "key bigint, n bigint, n_target bigint", start, size=1)
     return parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
@@ -125,16 +126,16 @@ def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     common = word_counts(rows).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     packed = bigrams(rows, [bytes(r["word"]) for r in common])
     table_of_losses = losses(block_counts(packed), len(common))
-    found = blocks.keys(packed).join(table_of_losses, "key").select("block", "place", F.col("loss").alias("value"))
+    found = blocks.keys(packed).join(table_of_losses, "key").select("block", "place", "loss")
 
     def start():
-        def step(values, docs):
+        def step(*columns):
             out = []
-            for losses_of, members in zip(values, docs):
-                losses_of = np.array(losses_of or [], np.float64)
-                for member in members:
-                    codes = np.frombuffer(member["codes"], np.int32)
-                    out.append((member["id"], len(codes), float(losses_of[codes].mean()) if len(codes) else None))
+            for places, values, members, codes in zip(*columns):
+                loss = np.zeros(len(places or []))
+                loss[places or []] = values or []
+                for member, own in by_document(members, codes):
+                    out.append((member["id"], len(own), float(loss[own].mean()) if len(own) else None))
             return out
 
         return step
