@@ -9,6 +9,7 @@ longer document is a block alone.
 """
 
 import numpy as np
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -29,16 +30,17 @@ def expanded(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def pack(docs: DataFrame, key: str, start, carried: str = "", label: str = "blocks") -> DataFrame:
-    """One stored row for each block: ``block, keys, docs, codes``.
+def pack(docs: DataFrame, key: str, start, carried: str = "", label: str | None = None) -> DataFrame:
+    """One row for each block: ``block, mark, keys, docs, codes``; stored if there is a label.
 
     Input rows are the text as bytes, then the ``carried`` columns (DDL). ``docs``
     has those and the number of keys of each document, ``n``. ``codes`` has all
     documents' keys in order, as places in ``keys``. ``start()`` gives a function
-    from a text to its keys, in order.
+    from a text to its keys, in order. ``mark`` is a hash of the codes: where blocks
+    are packed anew for each use, it shows that the uses saw the same block.
     """
     fields = f"{carried}, " if carried else ""
-    schema = f"block bigint, keys array<{key}>, docs array<struct<{fields}n: int>>, codes binary"
+    schema = f"block bigint, mark bigint, keys array<{key}>, docs array<struct<{fields}n: int>>, codes binary"
 
     def begin():
         keys_of = start()
@@ -51,8 +53,9 @@ def pack(docs: DataFrame, key: str, start, carried: str = "", label: str = "bloc
             rank = np.empty(len(codes), np.int64)
             rank[order] = np.arange(len(codes))
             names = list(codes)
-            row = (state["task"] << 32 | state["number"], [names[n] for n in order.tolist()], list(members),
-                   squeezed(rank[every] if len(every) else every))
+            data = squeezed(rank[every] if len(every) else every)
+            row = (state["task"] << 32 | state["number"], xxhash.xxh64_intdigest(data) >> 1,
+                   [names[n] for n in order.tolist()], list(members), data)
             codes.clear()
             members.clear()
             found.clear()
@@ -74,7 +77,8 @@ def pack(docs: DataFrame, key: str, start, carried: str = "", label: str = "bloc
         step.finish = lambda: [[close()]] if members else []
         return step
 
-    return store(arrow_map(docs, schema, begin), label)
+    packed = arrow_map(docs, schema, begin)
+    return store(packed, label) if label else packed
 
 
 def keys(packed: DataFrame) -> DataFrame:
@@ -93,11 +97,17 @@ def by_document(docs: list, codes: bytes):
 def unpack(packed: DataFrame, values: DataFrame, schema: str, start) -> DataFrame:
     """Join values back to the documents of their block.
 
-    ``start()`` gives a function of (lists of value rows, ``docs``, ``codes``) that
-    returns output rows. What meets in one task is one block.
+    ``start()`` gives a function of (lists of value columns, ``docs``, ``codes``) that
+    returns output rows. What meets in one task is one block. If ``values`` has a
+    ``mark``, it must be that of the block.
     """
-    columns = [c for c in values.columns if c != "block"]
-    by_block = values.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias("found"))
-    joined = packed.select("block", "docs", "codes").join(by_block, "block", "left")
+    columns = [c for c in values.columns if c not in ("block", "mark")]
+    marks = [F.min("mark").alias("low"), F.max("mark").alias("high")] if "mark" in values.columns else []
+    by_block = values.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias("found"), *marks)
+    joined = packed.select("block", "mark", "docs", "codes").join(by_block, "block", "left")
+    if marks:
+        other = (F.col("low") != F.col("mark")) | (F.col("high") != F.col("mark"))
+        error = F.raise_error(F.lit("the documents did not read the same twice; store them first")).cast("binary")
+        joined = joined.withColumn("codes", F.when(other, error).otherwise(F.col("codes")))
     parts = [F.col(f"found.{c}").alias(c) for c in columns]
     return arrow_map(joined.select(*parts, "docs", "codes"), schema, start, size=1)

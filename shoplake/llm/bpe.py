@@ -1,10 +1,14 @@
 """BPE encoding and decoding over a table of distinct words.
 
 The tokenizer never merges across white space and its normalizer works within
-words, so a text's ids are the ids of its words in order. Texts are split once;
-every distinct word is encoded once; ids return by position; decoding joins
+words, so a text's ids are the ids of its words in order. Every
+distinct word is encoded once; ids return by position; decoding joins
 token ids with the table of pieces.
 
+Texts are split once for their words and once for their places rather than stored
+between the two; the input must read the same twice, as files and stored tables do,
+and the job fails if it does not.
+
 Null and empty texts have no ids and decode to the empty text. Every input row
 gives one output row, repeated rows and null identifiers included; other columns
 are not read.
@@ -32,33 +36,33 @@ PARTS = 256
 def split(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Blocks of documents with their distinct words."""
     rows = docs.select(utf8(text).alias("text"), F.col(f"`{id}`").cast("bigint").alias("id"))
-    return blocks.pack(rows, "binary", lambda: bytes.split, "id bigint", "bpe")
+    return blocks.pack(rows, "binary", lambda: bytes.split, "id bigint")
 
 
 def parts(packed: DataFrame) -> DataFrame:
-    """``part, block, places, words``: the distinct words of blocks, dealt by hash.
+    """``part, block, mark, places, words``: the distinct words of blocks, dealt by hash.
 
     Equal words of all blocks come to one part, each block with one row in it.
     """
     def start():
-        def step(names, keys):
+        def step(names, marks, keys):
             out = []
-            for block, words in zip(names, keys):
+            for block, mark, words in zip(names, marks, keys):
                 dealt = {}
                 for place, word in enumerate(words):
                     dealt.setdefault(zlib.crc32(word) % PARTS, []).append(place)
-                out.extend((part, block, squeezed(np.array(places)), b"\n".join([words[n] for n in places]))
+                out.extend((part, block, mark, squeezed(np.array(places)), b"\n".join([words[n] for n in places]))
                            for part, places in dealt.items())
             return out
 
         return step
 
-    schema = "part int, block bigint, places binary, words binary"
-    return arrow_map(packed.select("block", "keys"), schema, start, size=1)
+    schema = "part int, block bigint, mark bigint, places binary, words binary"
+    return arrow_map(packed.select("block", "mark", "keys"), schema, start, size=1)
 
 
 def encode_words(dealt: DataFrame, path: str) -> DataFrame:
-    """``block, places, sizes, ids``: the ids of the words, each distinct word encoded once.
+    """``block, mark, places, sizes, ids``: the ids of the words, each distinct word encoded once.
 
     A task remembers the words of its part, up to a bounded number.
     """
@@ -66,9 +70,9 @@ def encode_words(dealt: DataFrame, path: str) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer, known, last = Tokenizer.from_file(path), {}, [None]
 
-        def step(part, block, places, words):
+        def step(part, block, marks, places, words):
             out = []
-            for p, b, at, text in zip(part, block, places, words):
+            for p, b, mark, at, text in zip(part, block, marks, places, words):
                 if p != last[0] or len(known) > CACHED_WORDS:
                     known.clear()
                     last[0] = p
@@ -79,13 +83,13 @@ def encode_words(dealt: DataFrame, path: str) -> DataFrame:
                 ids = [known[w] for w in every]
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids))
                 flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(sizes.sum()))
-                out.append((b, at, squeezed(sizes), squeezed(flat)))
+                out.append((b, mark, at, squeezed(sizes), squeezed(flat)))
             return out
 
         return step
 
     together = dealt.repartition("part").sortWithinPartitions("part")
-    return arrow_map(together.select("part", "block", "places", "words"), "block bigint, places binary, sizes binary, ids binary", start, size=16)
+    return arrow_map(together.select("part", "block", "mark", "places", "words"), "block bigint, mark bigint, places binary, sizes binary, ids binary", start, size=16)
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
