@@ -24,7 +24,7 @@ count as one document and all get its result. Rows without doc_id come last.
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shoplake.llm.common import arrow_map, mixed, store, table
 
@@ -146,16 +146,20 @@ def dropped(rows: DataFrame) -> DataFrame:
     shared = halved.groupBy("half").agg(F.count("*").alias("lines")).where("lines > 1").select("half")
     chosen = halved.join(shared, "half", "left_semi").select("line").distinct()
     texts = store(with_text(rows, chosen), "open")
-    keyed = store(neighbourhood(texts.withColumn("text", F.col("text").cast("binary"))), "variants")
-
-    cut, whole = keyed.where("place >= 0"), keyed.where("place = -1").select("key", F.col("line").alias("short"))
-    replaced = cut.join(cut.groupBy("key", "place").agg(F.min("line").alias("earlier")), ["key", "place"])
-    longer = cut.join(whole.withColumnRenamed("short", "earlier"), "key")
-    shorter = whole.join(cut.groupBy("key").agg(F.min("line").alias("earlier")), "key").withColumnRenamed("short", "line")
-    candidates = (
-        replaced.select("line", "earlier").union(longer.select("line", "earlier")).union(shorter.select("line", "earlier"))
-        .where(F.col("earlier") < F.col("line")).distinct()
+    keyed = neighbourhood(texts.withColumn("text", F.col("text").cast("binary")))
+
+    def earliest(condition, *names):
+        return F.min(F.when(condition, F.col("line"))).over(Window.partitionBy(*names))
+
+    # a key's rows: lines alike but for one code point, at most one of them whole
+    met = keyed.repartition("key").select(
+        "line",
+        F.when(F.col("place") >= 0, earliest(F.lit(True), "key", "place")).alias("replaced"),
+        F.when(F.col("place") >= 0, earliest(F.col("place") == -1, "key")).alias("shorter"),
+        F.when(F.col("place") == -1, earliest(F.col("place") >= 0, "key")).alias("longer"),
     )
+    candidates = met.select("line", F.explode(F.array("replaced", "shorter", "longer")).alias("earlier")).where(
+        F.col("earlier") < F.col("line")).distinct()
     text = texts.select(where(), "text")
     checked = (
         candidates.join(text.withColumnRenamed("text", "later_text"), "line")
@@ -181,20 +185,20 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     added = ["text_kept", "n_lines", "n_copies", "n_near"]
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("doc"),
-        F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"),
-        F.xxhash64(f"`{text}`").alias("row"),
+        F.col(f"`{id}`").cast("bigint").alias("id"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("row"),
     )
-    gone = dropped(rows.select("id", "row", F.col("text").cast("binary").alias("text"))).groupBy(
+    body = F.col(f"doc.`{text}`").cast("string")
+    gone = dropped(rows.select("id", "row", body.cast("binary").alias("text"))).groupBy(
         F.col("id").alias("its_id"), F.col("row").alias("its_row")
     ).agg(F.collect_list("at").alias("gone"), F.count_if("near").alias("near"))
-    every = F.split("text", "\n", -1)
+    every = F.split(body, "\n", -1)
     none = F.array().cast("array<int>")
     kept = F.filter(every, lambda line, at: ~F.array_contains(F.coalesce("gone", none), at))
     return (
         rows.join(gone, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("row") == F.col("its_row")), "left")
         .select(
-            "doc.*", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text_kept"),
-            F.when(F.col("text").isNull(), 0).otherwise(F.size(every)).cast("bigint").alias("n_lines"),
+            "doc.*", F.when(F.col("gone").isNull(), body).otherwise(F.array_join(kept, "\n")).alias("text_kept"),
+            F.when(body.isNull(), 0).otherwise(F.size(every)).cast("bigint").alias("n_lines"),
             (F.size(F.coalesce("gone", none)) - F.coalesce("near", F.lit(0))).cast("bigint").alias("n_copies"),
             F.coalesce("near", F.lit(0)).cast("bigint").alias("n_near"),
         )
