@@ -7,7 +7,10 @@ commonest words of all documents, any other word is one unknown token, and every
 text starts after a start token. A document's score is the mean over its tokens of
 target loss minus background loss, in nats: the lower, the more like the target.
 
-p(w | v) = (c(v, w) + K p(w)) / (c(v) + K),   p(w) = (c(w) + 1) / (N + V)
+p(w | v) = (c(v, w) + K p(w)) / (c(v) + K),   p(w) = (c(w) + 1) / (N + V + 2)
+
+c(v) counts every occurrence of v, so a word that ends a text leaves its share to
+the end, which is not scored.
 
 Counts cover every document. They are made by block, so a bigram moves once for
 each block that has it; losses return to the blocks by join and are summed by
@@ -16,12 +19,14 @@ zero, and both models still give every token a probability. Each input row gives
 one row; rows of one doc_id take the label of that id, the best of several.
 """
 
+import itertools
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shoplake.llm import blocks
 from shoplake.llm.blocks import by_document, expanded
-from shoplake.llm.common import arrow_map, table, utf8
+from shoplake.llm.common import arrow_map, store, table, utf8
 
 VOCABULARY = 32_768
 #: Weight of the unigram model in the bigram model, as a number of tokens.
@@ -84,49 +89,61 @@ def bigrams(rows: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 
 
 def block_counts(packed: DataFrame) -> DataFrame:
-    """``key, n, n_target`` summed over all blocks."""
+    """``block, place, key, n, n_target`` for every bigram of every block."""
     def start():
-        def step(keys, docs, codes):
+        def step(names, keys, docs, codes):
             out = []
-            for names, members, data in zip(keys, docs, codes):
+            for block, own, members, data in zip(names, keys, docs, codes):
                 every = expanded(data)
                 good = np.repeat([m["target"] == 1 for m in members], [m["n"] for m in members])
-                total = np.stack([np.bincount(every[~good], minlength=len(names)), np.bincount(every[good], minlength=len(names))])
-                out.extend(zip(names, total.sum(0).tolist(), total[1].tolist()))
+                total = np.bincount(every, minlength=len(own))
+                target = np.bincount(every[good], minlength=len(own))
+                out.extend(zip(itertools.repeat(block), range(len(own)), own, total.tolist(), target.tolist()))
             return out
 
         return step
 
-    parts = arrow_map(packed.select("keys", "docs", "codes"), "key bigint, n bigint, n_target bigint", start, size=1)
-    return parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    schema = "block bigint, place int, key bigint, n int, n_target int"
+    return arrow_map(packed.select("block", "keys", "docs", "codes"), schema, start, size=1)
+
 
+def losses(counts: DataFrame, known: DataFrame, vocabulary: int, total: tuple[int, int]) -> DataFrame:
+    """``block, place, loss``: target loss minus background loss of every bigram.
 
-def losses(counts: DataFrame, vocabulary: int) -> DataFrame:
-    """``key, loss``: target loss minus background loss of every bigram."""
-    before, word = F.shiftright("key", 32).cast("int"), F.col("key").bitwiseAND((1 << 32) - 1).cast("int")
-    pairs = counts.withColumn("before", before).withColumn("word", word)
-    sums = [F.sum("n").alias("own"), F.sum("n_target").alias("own_target")]
-    # at most one row for each word of the vocabulary
-    by_word = F.broadcast(pairs.groupBy("word").agg(*sums))
-    by_before = F.broadcast(pairs.groupBy("before").agg(F.sum("n").alias("all"), F.sum("n_target").alias("all_target")))
-    every = F.broadcast(pairs.agg(F.sum("n").alias("size"), F.sum("n_target").alias("size_target")))
-    joined = pairs.join(by_word, "word").join(by_before, "before").join(every)
+    A bigram has one row for each block, so its sums over all blocks come from one
+    shuffle. ``known``: ``word, own, own_target``, at most the vocabulary's rows.
+    """
+    of_key = Window.partitionBy("key")
+    pairs = counts.select(
+        "block", "place", F.shiftright("key", 32).cast("int").alias("before"),
+        F.col("key").bitwiseAND((1 << 32) - 1).cast("int").alias("word"),
+        F.sum("n").over(of_key).alias("n"), F.sum("n_target").over(of_key).alias("n_target"),
+    )
+    context = known.select(F.col("word").alias("before"), F.col("own").alias("all"), F.col("own_target").alias("all_target"))
+    joined = pairs.join(F.broadcast(known), "word").join(F.broadcast(context), "before")
 
     def loss(n, own, context, size):
-        unigram = (F.col(own) + 1) / (F.col(size) + vocabulary + 2)
+        unigram = (F.col(own) + 1) / F.lit(float(size + vocabulary + 2))
         return -F.log((F.col(n) + PRIOR * unigram) / (F.col(context) + PRIOR))
 
-    difference = loss("n_target", "own_target", "all_target", "size_target") - loss("n", "own", "all", "size")
-    return joined.select("key", difference.alias("loss"))
+    difference = loss("n_target", "own_target", "all_target", total[1]) - loss("n", "own", "all", total[0])
+    return joined.select("block", "place", difference.alias("loss"))
 
 
 def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_tokens, score`` for every document."""
     rows = labelled(docs, labels, id, text)
-    common = word_counts(rows).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    every = store(word_counts(rows), "words")
+    common = every.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    sums = every.agg(F.sum("n"), F.sum("n_target")).first()
+    texts = rows.where(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]")).agg(F.count("*"), F.sum("target")).first()
+    total, starts = (sums[0] or 0, sums[1] or 0), (texts[0], texts[1] or 0)
+    unknown = tuple(total[n] - sum(r[n + 1] for r in common) for n in (0, 1))
+    numbered = [(n, r[1], r[2]) for n, r in enumerate(common, UNKNOWN + 1)]
+    known = docs.sparkSession.createDataFrame(
+        [(START, *starts), (UNKNOWN, *unknown), *numbered], "word int, own bigint, own_target bigint")
     packed = bigrams(rows, [bytes(r["word"]) for r in common])
-    table_of_losses = losses(block_counts(packed), len(common))
-    found = blocks.keys(packed).join(table_of_losses, "key").select("block", "place", "loss")
+    found = losses(block_counts(packed), known, len(common), total)
 
     def start():
         def step(*columns):
