@@ -46,12 +46,6 @@ def price_bucket(price: Column) -> Column:
     return chain.otherwise(F.lit(params.PRICE_BUCKET_TOP))
 
 
-def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """100 * part / whole, null where whole is 0."""
-    share = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
-    return F.round(share * 100, digits)
-
-
 def exact_percent(part: Column, whole: Column) -> Column:
     """100 * part / whole in decimal arithmetic, rounded half up to decimal(10,2)."""
     hundredfold = (part * 100).cast("decimal(22,0)")

@@ -12,7 +12,7 @@ from shoplake.operators.parsing import flatten_raw
 from shoplake.operators.validation import REQUIRED, quality_counts, valid
 from shoplake.operators.working import NEWEST_FIRST, newest_per_key, prepare
 from shoplake.sinks.tables import (
-    in_partitions, overwrite_partitions, partition_values, upsert_table,
+    drop_partitions, in_partitions, overwrite_partitions, partition_values, table_exists, upsert_table,
 )
 from shoplake.sources.tables import scan, scan_day
 
@@ -26,7 +26,9 @@ def upsert_events(
     key: tuple[str, ...] = params.DEDUP_KEY,
     apply_deletes: bool = False,
 ) -> list[date]:
-    """Merges prepared events into the working table and returns the event dates they carry.
+    """Merges prepared events into the working table and returns the event dates touched.
+
+    Those are the dates the events carry and the dates that rows moved away from.
 
     Copies inside the batch are reduced to the newest first. A key with the
     event time fixes the date, so the merge stays inside the batch's dates.
@@ -81,14 +83,22 @@ def gold_refresh(
     """Recomputes the gold tables for whole event dates and replaces those partitions.
 
     The aggregates read the fact partitions just written, so each reads only
-    its own columns and nothing needs to be cached.
+    its own columns and nothing needs to be cached. Dates that the working table no
+    longer has are removed from the gold tables.
     """
-    touched = in_partitions("event_date", dates)
+    aggregates = {"agg_daily_events": agg_daily_events, "agg_product_daily": agg_product_daily}
     facts_path = f"{gold_path}/fact_events"
+    left = partition_values(scan(spark, working_path).where(in_partitions("event_date", dates)), "event_date")
+    emptied = [day for day in dates if day not in left]
+    for path in (facts_path, *(f"{gold_path}/{name}" for name in aggregates)):
+        if emptied and table_exists(spark, path):
+            drop_partitions(spark, path, "event_date", emptied)
+    if not left:
+        return
+    touched = in_partitions("event_date", left)
     overwrite_partitions(
         fact_events(scan(spark, working_path).where(touched)), facts_path, ["event_date"]
     )
     facts = scan(spark, facts_path).where(touched)
-    aggregates = {"agg_daily_events": agg_daily_events, "agg_product_daily": agg_product_daily}
     for name, aggregate in aggregates.items():
         overwrite_partitions(aggregate(facts), f"{gold_path}/{name}", ["event_date"])

@@ -17,10 +17,6 @@ from shoplake.sinks.models import save_metadata, save_model
 from shoplake.sinks.tables import write_table
 from shoplake.workspace import use_checkpoints
 
-# Trees split on category indexes bin by bin; beyond this many values the
-# top-N bucketing has to be used.
-MAX_PLAIN_CATEGORIES = 10_000
-
 
 # --- recommender -----------------------------------------------------------
 
@@ -154,10 +150,17 @@ def classifier_pipeline(
     ])
 
 
-def fit_classifier(training: DataFrame, top_n: int | None = None, **forest_options) -> PipelineModel:
-    """Weighted random forest over all category values, or over the ``top_n`` most frequent.
-
-    With ``top_n`` the frame needs the columns of ``features.bucket_categories``.
+def fit_classifier(
+    training: DataFrame,
+    top_n: int | None = params.TOP_N_CATEGORIES,
+    max_bins: int | None = None,
+    **forest_options,
+) -> PipelineModel:
+    """Weighted random forest over the ``top_n`` most frequent categories and brands.
+
+    With ``top_n`` the frame needs the columns of ``features.bucket_categories``. None
+    takes all values as they are; trees split on them bin by bin, so the caller says
+    how many bins that may take (``features.cardinality`` counts them).
     """
     if top_n is not None:
         pipeline = classifier_pipeline(
@@ -165,10 +168,9 @@ def fit_classifier(training: DataFrame, top_n: int | None = None, **forest_optio
             **forest_options,
         )
         return pipeline.fit(training)
-    max_bins = features.cardinality(training).first()["max_bins"]
-    if max_bins > MAX_PLAIN_CATEGORIES:
-        raise ValueError(f"{max_bins} category bins: use top_n bucketing")
-    return classifier_pipeline("category_code", "brand", int(max_bins), **forest_options).fit(training)
+    if max_bins is None:
+        raise ValueError("plain categories need max_bins")
+    return classifier_pipeline("category_code", "brand", max_bins, **forest_options).fit(training)
 
 
 def score_purchases(predictions: DataFrame) -> DataFrame:
@@ -180,7 +182,11 @@ def score_purchases(predictions: DataFrame) -> DataFrame:
 
 
 def train_classifier(
-    events: DataFrame, folder: str, top_n: int | None = None, **forest_options
+    events: DataFrame,
+    folder: str,
+    top_n: int | None = params.TOP_N_CATEGORIES,
+    max_bins: int | None = None,
+    **forest_options,
 ) -> DataFrame:
     """Fits, evaluates and saves the classifier and its metadata; returns the metadata."""
     spark = events.sparkSession
@@ -192,19 +198,20 @@ def train_classifier(
 
     training, test = interactions.random_split(stored)
     started = time.monotonic()
-    model = fit_classifier(training, top_n, **forest_options)
+    model = fit_classifier(training, top_n, max_bins, **forest_options)
     seconds = time.monotonic() - started
     save_model(model, f"{folder}/model")
 
     write_table(
         score_purchases(model.transform(test)).select(
-            "label", "prediction", "probabilities", "prob_purchase"
+            *[c for c in ("event_id",) if c in stored.columns], "label", "prediction", "probabilities", "prob_purchase"
         ),
         f"{folder}/predictions", "overwrite",
     )
     predictions = spark.read.parquet(f"{folder}/predictions")
     metrics = class_metrics.multiclass_metrics(predictions).first().asDict()
-    metrics |= class_metrics.precision_at_k(predictions).first().asDict()
+    ties = tuple(c for c in ("event_id",) if c in predictions.columns)
+    metrics |= class_metrics.precision_at_k(predictions, ties).first().asDict()
     metrics |= class_metrics.log_loss(predictions).first().asDict()
     forest = model.stages[-1]
     described = {

@@ -22,12 +22,12 @@ from shoplake.sources.adapter import table
 from shoplake.workspace import new_folder
 
 TOP_K = params.TOP_K
+# Few enough that "other" occurs in the smallest tables.
 TOP_N = 3
 
-# Small models for the registered queries; jobs use the values in params. The rank
-# stays below the number of users in the smallest tables.
-ALS_SIZE = {"rank": 8, "iterations": 5, "blocks": 4}
-FOREST_SIZE = {"trees": 16, "depth": 6}
+# The rank stays below the number of users in the smallest tables; jobs use the
+# values in params.
+ALS_SIZE = {"rank": 8, "iterations": 5}
 
 
 def scores_sql(source: str) -> str:
@@ -109,11 +109,21 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("train_test_split_random")
 def train_test_split_random(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = interactions.random_split(valid_events(spark, folder))
+    path = new_folder(spark, "split")
+    write_table(valid_events(spark, folder), path, "overwrite")  # both sides see one order of rows
+    train, test = interactions.random_split(spark.read.parquet(path))
     sides = [rows.select("event_id", F.lit(name).alias("side")) for name, rows in (("train", train), ("test", test))]
     return sides[0].unionByName(sides[1])
 
 
+@query("train_test_split_random_cover", """
+SELECT event_id, 1 AS sides, abs((SELECT count(*) FROM good) - count(*) OVER ()) AS lost FROM good""")
+def train_test_split_random_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """The random split holds every row on one side."""
+    split = train_test_split_random(spark, folder)
+    return split.groupBy("event_id").agg(F.count("*").alias("sides")).withColumn("lost", F.lit(0))
+
+
 # --- popularity ------------------------------------------------------------
 
 POPULAR_SQL = """
@@ -317,7 +327,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
     frame = _stored_frame(spark, folder)
-    models.save_model(training.fit_classifier(frame, **FOREST_SIZE), f"{path}/pipeline")
+    models.save_model(training.fit_classifier(frame), f"{path}/pipeline")
     loaded = models.load_model(PipelineModel, f"{path}/pipeline")
     assert isinstance(loaded.stages[-1], RandomForestClassificationModel)
     scored = loaded.transform(frame).agg(F.count("prediction").alias("size"))
@@ -406,14 +416,23 @@ def cardinality(spark: SparkSession, folder: str) -> DataFrame:
     return features.cardinality(valid_events(spark, folder))
 
 
-@query("topn_bucketing", f"""
+def bucketing_sql(top_n: int) -> str:
+    return f"""
 SELECT event_id, {EVENT_SQL},
-  CASE WHEN brand IN (SELECT brand FROM good GROUP BY brand ORDER BY count(*) DESC, brand LIMIT {TOP_N})
+  CASE WHEN brand IN (SELECT brand FROM good GROUP BY brand ORDER BY count(*) DESC, brand LIMIT {top_n})
     THEN brand ELSE 'other' END AS brand_bucketed,
   CASE WHEN category_code IN (
-      SELECT category_code FROM good GROUP BY category_code ORDER BY count(*) DESC, category_code LIMIT {TOP_N})
+      SELECT category_code FROM good GROUP BY category_code ORDER BY count(*) DESC, category_code LIMIT {top_n})
     THEN category_code ELSE 'other' END AS category_bucketed
-FROM good""")
+FROM good"""
+
+
+@query("topn_bucketing_default", bucketing_sql(params.TOP_N_CATEGORIES))
+def topn_bucketing_default(spark: SparkSession, folder: str) -> DataFrame:
+    return features.bucket_categories(valid_events(spark, folder), params.TOP_N_CATEGORIES)
+
+
+@query("topn_bucketing", bucketing_sql(TOP_N))
 def topn_bucketing(spark: SparkSession, folder: str) -> DataFrame:
     return features.bucket_categories(valid_events(spark, folder), TOP_N)
 
@@ -489,13 +508,14 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
 def _stored_frame(spark: SparkSession, folder: str) -> DataFrame:
     """The training frame as a table, as fitting reads it many times."""
     path = new_folder(spark, "training_frame")
-    write_table(features.training_frame(valid_events(spark, folder)), path, "overwrite")
+    frame = features.training_frame(valid_events(spark, folder))
+    write_table(features.bucket_categories(frame, params.TOP_N_CATEGORIES), path, "overwrite")
     return spark.read.parquet(path)
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     split = interactions.hash_split(_stored_frame(spark, folder), ("event_id",))
-    model = training.fit_classifier(split.where("is_train"), **FOREST_SIZE)
+    model = training.fit_classifier(split.where("is_train"))
     return training.score_purchases(model.transform(split.where("NOT is_train")))
 
 
@@ -526,5 +546,5 @@ def purchase_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("train_classifier")
 def train_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return training.train_classifier(
-        valid_events(spark, folder), new_folder(spark, "classifier"), **FOREST_SIZE
+        valid_events(spark, folder), new_folder(spark, "classifier")
     )

@@ -172,6 +172,67 @@ def gold_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return table_sources.scan(spark, f"{_gold(spark, folder)}/agg_daily_events")
 
 
+def _prepared(spark: SparkSession, folder: str) -> DataFrame:
+    return working.prepare(valid_events(spark, folder)).withColumns({
+        "kafka_offset": F.col("event_id"), "kafka_partition": F.lit(0),
+    })
+
+
+@query("gold_refresh_deletes", f"SELECT {DAILY_SQL} FROM days WHERE event_date <> (SELECT min(event_date) FROM days)")
+def gold_refresh_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    """The gold table after every event of the first day was deleted."""
+    base = new_folder(spark, "zones")
+    prepared = _prepared(spark, folder).withColumn("is_deleted", F.lit(False))
+    first = prepared.agg(F.min("event_date")).first()[0]
+    later = F.col("kafka_offset") + 1_000_000_000
+    gone = prepared.where(F.col("event_date") == F.lit(first)).withColumns(
+        {"is_deleted": F.lit(True), "kafka_offset": later})
+    for batch in (prepared, gone):
+        dates = medallion.upsert_events(spark, f"{base}/working", batch, apply_deletes=True)
+        medallion.gold_refresh(spark, f"{base}/working", f"{base}/gold", dates)
+    return table_sources.scan(spark, f"{base}/gold/agg_daily_events")
+
+
+MOVE_KEY = ("user_id", "product_id", "event_type")
+
+
+@query("gold_refresh_moves", """
+SELECT '2030-01-01 00:00:00.000000'[1:10] AS event_date, count(*) AS total_events FROM
+  (SELECT DISTINCT user_id, product_id, event_type FROM good)""")
+def gold_refresh_moves(spark: SparkSession, folder: str) -> DataFrame:
+    """Events keyed without their time, all moved to one later day; no earlier day stays in gold."""
+    base = new_folder(spark, "zones")
+    events = valid_events(spark, folder).withColumns({
+        "kafka_offset": F.col("event_id"), "kafka_partition": F.lit(0),
+    })
+    moved = events.withColumns({
+        "event_time": F.lit("2030-01-01 12:00:00").cast(events.schema["event_time"].dataType),
+        "kafka_offset": F.col("kafka_offset") + 1_000_000_000,
+    })
+    for batch in (events, moved):
+        dates = medallion.upsert_events(spark, f"{base}/working", working.prepare(batch, MOVE_KEY), MOVE_KEY)
+        medallion.gold_refresh(spark, f"{base}/working", f"{base}/gold", dates)
+    return table_sources.scan(spark, f"{base}/gold/agg_daily_events").select("event_date", "total_events")
+
+
+@query("zorder_clustering", """
+SELECT true AS fewer_brands, true AS fewer_sizes, (SELECT count(*) FROM part) AS rows_kept""")
+def zorder_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the files of a table clustered by brand and size hold fewer values than the table."""
+    path = new_folder(spark, "zorder_clustering")
+    parts = adapter.table(spark, folder, "part").select("p_partkey", "p_brand", "p_size", F.lit(1).alias("p"))
+    table_sinks.write_table(parts, path, "overwrite", ["p"])
+    size = maintenance.file_sizes(spark, path, "p").first()["bytes"]
+    maintenance.zorder_table(spark, path, "p", ["p_brand", "p_size"], target_bytes=max(1, size // 8))
+    rows = table_sources.scan(spark, path)
+    spread = rows.groupBy(F.input_file_name().alias("file")).agg(
+        F.count_distinct("p_brand").alias("brands"), F.count_distinct("p_size").alias("sizes"), F.count("*").alias("n"))
+    every = rows.agg(F.count_distinct("p_brand").alias("all_brands"), F.count_distinct("p_size").alias("all_sizes"))
+    return spread.join(F.broadcast(every)).agg(
+        (F.avg("brands") < F.first("all_brands")).alias("fewer_brands"),
+        (F.avg("sizes") < F.first("all_sizes")).alias("fewer_sizes"), F.sum("n").alias("rows_kept"))
+
+
 @query("register_gold", f"""
 SELECT 'fact_events' AS table_name, {sql_date('event_date')} AS event_date, count(*) AS row_count
 FROM fact GROUP BY fact.event_date

@@ -47,7 +47,7 @@ def deliveries(messages: DataFrame, count: int = DELIVERIES, again: bool = False
     """
     at = F.unix_micros("timestamp")
     first, last = messages.agg(F.min(at), F.max(at)).first()
-    number = F.floor((at - F.lit(first)) * count / F.lit(last - first + 1))
+    number = F.coalesce(F.floor((at - F.lit(first)) * count / F.lit(last - first + 1)), F.lit(0))
     parts = [messages.where(number == n) for n in range(count)]
     if not again:
         return parts
@@ -232,9 +232,11 @@ def _maintained(spark: SparkSession, folder: str, rollup: str) -> DataFrame:
     path = new_folder(spark, "views")
 
     def start(stream: DataFrame, checkpoint: str):
-        return views.maintain(stream, checkpoint, path, (rollup,))
+        return views.maintain(
+            stream, checkpoint, path, (rollup,), state_partitions=state_partitions(spark)
+        )
 
-    run(spark, deliveries(event_messages(click_events(spark, folder))), start)
+    run(spark, deliveries(event_messages(click_events(spark, folder)), again=True), start)
     return views.current(spark, path, rollup)
 
 
@@ -279,5 +281,5 @@ def stream_window_15min(spark: SparkSession, folder: str) -> DataFrame:
             stream, checkpoint, path, state_partitions=state_partitions(spark)
         )
 
-    run(spark, deliveries(event_messages(click_events(spark, folder))), start)
+    run(spark, deliveries(event_messages(click_events(spark, folder)), again=True), start)
     return scan(spark, path).drop("active_users", "active_sessions")

@@ -4,10 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from shoplake.sinks.tables import (
-    in_partitions, overwrite_partitions, partition_values, table_files,
-)
-from shoplake.workspace import session_settings
+from shoplake.sinks.tables import in_partitions, table_files
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 Z_BITS = 6
@@ -33,33 +30,40 @@ def compact_table(
 ) -> None:
     """Rewrites the partitions that hold more files than their size calls for.
 
-    ``where`` restricts the partitions looked at. AQE sizes the written files:
-    it splits a partition above ``target_bytes`` and packs one below into a
-    single file.
+    ``where`` restricts the partitions looked at. A partition's rows are dealt by
+    their old position to as many files as its stored bytes call for. Rows packed
+    together may compress better, so the sizes are looked at again until no
+    partition has too many files; every turn leaves fewer files, and a later run
+    finds nothing to do.
     """
-    sizes = file_sizes(spark, path, partition_column)
-    if where is not None:
-        sizes = sizes.where(where)
-    fragmented = partition_values(
-        sizes.where(F.col("files") > _wanted_files(target_bytes)), partition_column
-    )
-    if not fragmented:
-        return
-    rows = spark.read.parquet(path).where(in_partitions(partition_column, fragmented))
-    with session_settings(
-        spark,
-        spark__sql__adaptive__enabled="true",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes),
-    ):
-        overwrite_partitions(rows, path, [partition_column])
+    while True:
+        sizes = file_sizes(spark, path, partition_column)
+        if where is not None:
+            sizes = sizes.where(where)
+        wanted = sizes.select(partition_column, "files", _wanted_files(target_bytes).alias("_wanted"))
+        fragmented = wanted.where(F.col("files") > F.col("_wanted")).drop("files").collect()
+        if not fragmented:
+            return
+        counts = spark.createDataFrame(fragmented, wanted.drop("files").schema)
+        rows = spark.read.parquet(path).where(in_partitions(partition_column, [r[0] for r in fragmented]))
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+        dealt = rows.select("*", place).join(
+            F.broadcast(counts.withColumnRenamed(partition_column, "_value")),
+            F.col(partition_column).eqNullSafe(F.col("_value")),
+        ).withColumn("_part", F.pmod("_place", "_wanted")).repartition(
+            sum(r["_wanted"] for r in fragmented), partition_column, "_part"
+        ).drop("_place", "_part", "_wanted", "_value")
+        (
+            dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_column).parquet(path)
+        )
 
 
-def _as_number(column: str, kind: T.DataType) -> Column:
-    """Order-preserving number; text counts by its first six bytes."""
+def _comparable(column: str, kind: T.DataType) -> Column:
+    """Order-preserving number; text stays as it is."""
     value = F.col(column)
     if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
+        return value
     if isinstance(kind, T.DateType):
         return F.unix_date(value).cast("double")
     if isinstance(kind, T.TimestampType):
@@ -67,7 +71,14 @@ def _as_number(column: str, kind: T.DataType) -> Column:
     return value.cast("double")
 
 
-def _quantile_index(value: Column, cuts: list[float]) -> Column:
+def _text_cuts(rows: DataFrame, column: str, count: int) -> list[str]:
+    """At most ``count`` cut points between ranges that hold about as many distinct texts."""
+    ranges = rows.select(column).where(F.col(column).isNotNull()).distinct().repartitionByRange(count + 1, column)
+    firsts = ranges.groupBy(F.spark_partition_id()).agg(F.min(column)).collect()
+    return sorted(row[1] for row in firsts)[1:]
+
+
+def _quantile_index(value: Column, cuts: list) -> Column:
     """Number of cut points at or below the value, by binary search; null counts as 0."""
     def search(low: int, high: int) -> Column:
         if low == high:
@@ -93,17 +104,21 @@ def z_value(indexes: Sequence[Column], bits: int = Z_BITS) -> Column:
 def z_ordered(rows: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> DataFrame:
     """Adds the Z value of the columns as ``_z``.
 
-    The driver receives the quantile cut points only: ``2 ** bits - 1`` numbers
+    The driver receives the quantile cut points only: ``2 ** bits - 1`` values
     per column.
     """
     kinds = {field.name: field.dataType for field in rows.schema.fields}
-    numbers = {c: _as_number(c, kinds[c]) for c in columns}
+    values = {c: _comparable(c, kinds[c]) for c in columns}
+    texts = [c for c in columns if isinstance(kinds[c], T.StringType)]
+    numbers = [c for c in columns if c not in texts]
     steps = [n / 2 ** bits for n in range(1, 2 ** bits)]
-    found = rows.agg(*[F.percentile_approx(n, steps, 10_000).alias(c) for c, n in numbers.items()]).first()
+    cuts = {c: _text_cuts(rows, c, 2 ** bits - 1) for c in texts}
+    if numbers:
+        found = rows.agg(*[F.percentile_approx(values[c], steps, 10_000).alias(c) for c in numbers]).first()
+        cuts |= {c: sorted(set(found[c] or [])) for c in numbers}
     # Columns of their own, so each index is computed once and not once per bit.
     indexes = {
-        f"_index_{n}": _quantile_index(number, sorted(set(found[c] or [])))
-        for n, (c, number) in enumerate(numbers.items())
+        f"_index_{n}": _quantile_index(value, cuts[c]) for n, (c, value) in enumerate(values.items())
     }
     indexed = rows.withColumns(indexes)
     return indexed.withColumn("_z", z_value([F.col(n) for n in indexes], bits)).drop(*indexes)

@@ -84,10 +84,11 @@ def table_files(spark: SparkSession, path: str) -> DataFrame:
     return files.drop("content", "modificationTime")
 
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
-    gone = table_files(spark, path).where(in_partitions(column, values)).select("path")
-    for row in gone.collect():
-        _remove(spark, row["path"])
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Removes whole partition folders; those the table lacks are ignored."""
+    folder = F.regexp_extract("path", f"^(.*/{column}=[^/]*)/", 1)
+    for row in table_files(spark, path).where(in_partitions(column, values)).select(folder).distinct().collect():
+        _remove(spark, row[0])
 
 
 def partition_values(rows: DataFrame, column: str) -> list:
@@ -113,7 +114,9 @@ def upsert_table(
     delete_condition: str | None = None,
     moves_partition: bool = False,
 ) -> list:
-    """Merges ``source`` (one row per key) into the table and returns its partition values.
+    """Merges ``source`` (one row per key) into the table and returns the partitions touched.
+
+    Those are the source's own and those that rows left for another one.
 
     The source is stored once in the shared folder: the merge reads it several
     times, and its stored size tells Spark whether to broadcast it.
@@ -124,7 +127,7 @@ def upsert_table(
         stored = spark.read.schema(source.schema).parquet(staged)
         values = partition_values(stored, partition_column)
         if values:
-            _merge_into(
+            values = _merge_into(
                 spark, path, stored, values, keys, partition_column,
                 update_condition, insert_condition, delete_condition, moves_partition,
             )
@@ -144,8 +147,8 @@ def _merge_into(
     insert_condition: str | None,
     delete_condition: str | None,
     moves_partition: bool,
-) -> None:
-    """Rewrites the touched partitions of the table, or creates it.
+) -> list:
+    """Rewrites the touched partitions of the table, or creates it; returns them.
 
     By default the key determines the partition, so matches lie in the source's
     own partitions and only those are read. With ``moves_partition`` a match may
@@ -157,7 +160,7 @@ def _merge_into(
         if insert_condition is not None:
             fresh = fresh.where(F.expr(insert_condition))
         write_table(fresh, path, "overwrite", [partition_column])
-        return
+        return source_values
 
     target = spark.read.parquet(path)
     values = set(source_values)
@@ -176,4 +179,5 @@ def _merge_into(
         emptied = list(values - set(partition_values(merged, partition_column)))
     overwrite_partitions(merged, path, [partition_column])
     if emptied:
-        _drop_partitions(spark, path, partition_column, emptied)
+        drop_partitions(spark, path, partition_column, emptied)
+    return sorted(values, key=str)

@@ -4,24 +4,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from shoplake import params
 
-SALT_BUCKETS = 8
-
 
 def deduplicated(
     events: DataFrame,
     keys: tuple[str, ...] = params.DEDUP_KEY,
     watermark: str = params.WATERMARK,
     salt_by: tuple[str, ...] = ("partition", "offset"),
-    salt_buckets: int = SALT_BUCKETS,
+    salt_buckets: int = 0,
 ) -> DataFrame:
     """One row per key within the watermark; rows later than the watermark are dropped.
 
     Rows without event time are left out: a null never falls behind the
     watermark, so its state would stay for ever.
 
-    Copies of one event meet in one task. With ``salt_buckets`` they are first
-    deduplicated in that many groups by broker position, so at most
-    ``salt_buckets`` copies of an event reach the final step. 0 turns that off.
+    Copies of one event meet in one task. For streams with very many copies of one
+    event, ``salt_buckets`` first deduplicates in that many groups by broker
+    position (``salt_by``), at the price of a second shuffle and state.
     """
     timed = events.where(F.col("event_time").isNotNull()).withWatermark("event_time", watermark)
     if salt_buckets:

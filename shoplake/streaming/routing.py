@@ -16,6 +16,8 @@ from shoplake.streaming.jobs import start_batches
 POSITION = ("partition", "offset")
 VALIDATION_FAILED = "validation_failed"
 SERVING_FAILED = "serving_write_failed"
+ATTEMPTS = 3
+REASON_CHARS = 300
 
 # Writes the valid rows of a batch.
 ServeValid = Callable[[DataFrame, int], None]
@@ -48,11 +50,19 @@ def incoming(messages: DataFrame, watermark: str = params.WATERMARK, **options)
     return deduplicated(parsed, watermark=watermark, **options).unionByName(untimed(parsed))
 
 
-def route_batch(batch: DataFrame, batch_id: int, serve: ServeValid, reject: ServeDead) -> None:
+def short_reason(error: Exception) -> str:
+    """The first line of an error, without the stack trace that follows in JVM errors."""
+    lines = str(error).strip().splitlines()
+    return (lines[0] if lines else type(error).__name__)[:REASON_CHARS]
+
+
+def route_batch(
+    batch: DataFrame, batch_id: int, serve: ServeValid, reject: ServeDead, attempts: int = ATTEMPTS
+) -> None:
     """Rejected rows to the dead letters, valid ones to serving.
 
-    If serving fails, its rows become dead letters as well, with the error as
-    reason. Both outputs read one persisted frame, so the state is updated once.
+    If serving fails ``attempts`` times, its rows become dead letters as well, with
+    the error's first line as reason. Both outputs read one persisted frame, so the state is updated once.
     """
     events = batch.drop(*POSITION).persist()
     try:
@@ -60,11 +70,14 @@ def route_batch(batch: DataFrame, batch_id: int, serve: ServeValid, reject: Serv
             return
         reject(dead_letters(invalid(events), batch_id, VALIDATION_FAILED), batch_id, VALIDATION_FAILED)
         good = valid(events)
-        try:
-            serve(good, batch_id)
-        except Exception as error:
-            reason = f"{SERVING_FAILED}: {error}"
-            reject(dead_letters(good, batch_id, reason), batch_id, SERVING_FAILED)
+        for attempt in range(1, attempts + 1):
+            try:
+                serve(good, batch_id)
+                break
+            except Exception as error:
+                if attempt == attempts:
+                    reason = f"{SERVING_FAILED}: {short_reason(error)}"
+                    reject(dead_letters(good, batch_id, reason), batch_id, SERVING_FAILED)
     finally:
         events.unpersist()
 
@@ -76,11 +89,12 @@ def route(
     reject: ServeDead,
     once: bool = True,
     state_partitions: int | None = None,
+    attempts: int = ATTEMPTS,
 ) -> StreamingQuery:
     return start_batches(
         incoming(messages),
         checkpoint,
-        lambda batch, batch_id: route_batch(batch, batch_id, serve, reject),
+        lambda batch, batch_id: route_batch(batch, batch_id, serve, reject, attempts),
         once,
         state_partitions,
     )

@@ -8,6 +8,7 @@ from shoplake.operators.parsing import parse_events
 from shoplake.operators.rollups import ROLLUPS, merge_states, realtime_dashboard_states
 from shoplake.operators.validation import valid
 from shoplake.sinks.tables import append_batch
+from shoplake.streaming.dedup import deduplicated
 from shoplake.streaming.jobs import start_batches, start_parquet
 
 
@@ -25,19 +26,29 @@ def append_states(
         events.unpersist()
 
 
+def served(messages: DataFrame, watermark: str = params.WATERMARK) -> DataFrame:
+    """What the serving table gets: each event once, if it is valid."""
+    return valid(deduplicated(parse_events(messages), watermark=watermark))
+
+
 def maintain(
     messages: DataFrame,
     checkpoint: str,
     path: str,
     rollups: tuple[str, ...] = tuple(ROLLUPS),
     once: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keeps the rollups' states current with a stream of event messages."""
+    """Keeps the rollups' states current with a stream of event messages.
+
+    Events delivered again are counted once, as in the serving table.
+    """
     return start_batches(
-        valid(parse_events(messages)),
+        served(messages),
         checkpoint,
         lambda batch, batch_id: append_states(batch, batch_id, path, rollups),
         once,
+        state_partitions,
     )
 
 
@@ -55,6 +66,5 @@ def closed_windows(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Writes each 15-minute window once, when the watermark has passed its end."""
-    events = valid(parse_events(messages)).withWatermark("event_time", watermark)
-    states = realtime_dashboard_states(events)
+    states = realtime_dashboard_states(served(messages, watermark))
     return start_parquet(states, checkpoint, path, once, state_partitions)

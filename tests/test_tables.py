@@ -148,6 +148,29 @@ def test_compaction_keeps_rows_and_merges_files(spark, tmp_path):
     assert spark.read.parquet(path).agg(F.sum("id"), F.count("*")).first() == (sum(range(4000)), 4000)
 
 
+def test_a_second_compaction_rewrites_nothing_when_rows_compress(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(60000).select(F.lit("the same text in every row").alias("t"), (F.col("id") % 50).alias("v"), F.lit(1).alias("p"))
+    rows.repartition(24).write.partitionBy("p").parquet(path)
+    maintenance.compact_table(spark, path, "p", target_bytes=4000)
+    after = files(path, "p=1")
+    assert len(after) < 24
+    maintenance.compact_table(spark, path, "p", target_bytes=4000)
+    assert files(path, "p=1") == after
+    assert spark.read.parquet(path).count() == 60000
+
+
+def test_zorder_tells_texts_with_one_beginning_apart(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(20000).select(
+        F.lit(1).alias("p"), F.concat(F.lit("Brand#"), F.pmod(F.xxhash64("id"), F.lit(25))).alias("brand"))
+    rows.write.partitionBy("p").parquet(path)
+    size = sum(os.path.getsize(f"{path}/p=1/{f}") for f in files(path, "p=1"))
+    maintenance.zorder_table(spark, path, "p", ["brand"], target_bytes=size // 8)
+    spread = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count_distinct("brand").alias("n"))
+    assert spread.agg(F.max("n")).first()[0] < 25 and spark.read.parquet(path).count() == 20000
+
+
 def test_zorder_narrows_files_on_every_column(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(20000).select(
