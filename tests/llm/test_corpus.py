@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -63,8 +64,10 @@ def test_deletion_variants_are_equal_where_texts_are():
             assert keys[n] == lines.variants((text[:n] + text[n + 1:]).encode())[0][-1]
 
 
-def test_jaccard_join_matches_brute_force(docs, monkeypatch):
+@pytest.mark.parametrize("paired", [2, 32])
+def test_jaccard_join_matches_brute_force(docs, monkeypatch, paired):
     random.seed(4)
+    monkeypatch.setattr(jaccard, "PAIRED_ROWS", paired)
     monkeypatch.setattr(jaccard, "BLOCK_CELLS", 300)  # several blocks to a group
     words = [f"w{n}" for n in range(400)]
     rows, name = [], 1
