@@ -26,6 +26,39 @@ def store(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def first_by_hash(texts: DataFrame, limit: int, marks: DataFrame | None = None) -> list:
+    """``kind, id, text`` of the ``limit`` ids of each kind that come first by a hash.
+
+    ``texts``: ``id, text`` and ``kind``, unless ``marks`` has ``id, kind``. Rows without
+    id are passed over; of several texts of an id and kind the smallest one counts.
+    Ids are chosen first, so only the chosen texts leave their tasks. ``limit`` and the
+    number of kinds bound what is collected: a cut of the hash, widened until every
+    kind has enough, lets about four times ``limit`` ids through.
+    """
+    named = texts.where("id IS NOT NULL")
+    rows = named if marks is None else named.select("id").join(marks, "id")
+    ids = rows.select("kind", "id").distinct().withColumn("hash", F.xxhash64("id"))
+    ids = store(ids, "sample")
+    totals = {r["kind"]: r["n"] for r in ids.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    found, room = {}, 4
+    while any(len(found.get(k, ())) < min(limit, n) for k, n in totals.items()):
+        cut = F.lit(None).cast("bigint")
+        for kind, n in totals.items():
+            share = min(2 ** 64 - 1, room * limit * 2 ** 64 // n)
+            cut = F.when(F.col("kind") == kind, F.lit(share - 2 ** 63)).otherwise(cut)
+        found = {}
+        for row in ids.where(F.col("hash") <= cut).collect():
+            found.setdefault(row["kind"], []).append((row["hash"], row["id"]))
+        room *= 2
+    chosen = [(kind, id) for kind, members in found.items() for _, id in sorted(members)[:limit]]
+    if not chosen:
+        return []
+    wanted = texts.sparkSession.createDataFrame(chosen, ids.select("kind", "id").schema)
+    found = named.join(F.broadcast(wanted), ["id"] if marks is not None else ["kind", "id"])
+    found = found.groupBy("kind", "id").agg(F.min("text").alias("text"))
+    return sorted(found.collect(), key=lambda row: (row["kind"], row["id"]))
+
+
 def arrow_map(frame: DataFrame, schema: str, start, size: int = 128) -> DataFrame:
     """Run Python over the rows of each partition.
 

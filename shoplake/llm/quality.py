@@ -19,7 +19,7 @@ row; repeated rows and null ids included. Other columns are not read.
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplake.llm.common import Hashes, arrow_map, shingles, table, utf8
+from shoplake.llm.common import Hashes, arrow_map, first_by_hash, shingles, table, utf8
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -153,14 +153,11 @@ def viterbi(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
 
 def model(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Fit the CRF on the bounded sample of labelled documents."""
-    short = F.size(F.split(F.col(f"`{text}`"), "\n")) <= TRAIN_LINES
-    marks = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
-    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where(short).join(marks, "id")
-    order = [F.xxhash64("id"), F.col("id"), F.col("text")]
-    chosen = []
-    for label in (0, 1):
-        chosen += rows.where(F.col("label") == label).orderBy(*order).limit(TRAIN_ROWS).collect()
-    return train([(r["text"].encode(), r["label"]) for r in chosen])
+    body = F.col(f"`{text}`")
+    short = F.length(body) - F.length(F.translate(body, "\n", "")) < TRAIN_LINES
+    marks = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("kind"))
+    rows = docs.where(short).select(F.col(f"`{id}`").alias("id"), body.alias("text"))
+    return train([(r["text"].encode(), r["kind"]) for r in first_by_hash(rows, TRAIN_ROWS, marks)])
 
 
 def rules(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray], id: str = "doc_id", text: str = "text") -> DataFrame:
