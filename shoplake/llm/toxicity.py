@@ -26,7 +26,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplake.llm.common import CACHED_WORDS, arrow_map, table
+from shoplake.llm.common import CACHED_WORDS, arrow_map, first_by_hash, table
 
 BUCKETS = 1 << 18
 GRADES = 4
@@ -108,13 +108,9 @@ def fit(x: np.ndarray, grade: np.ndarray, share: np.ndarray) -> tuple[np.ndarray
 
 def model(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[dict[int, float], np.ndarray]:
     """Fit on the bounded sample of labelled documents."""
-    marks = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("mark"))
-    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL").join(marks, "id")
-    chosen = []
-    for mark in (0, 1):
-        first = rows.where(F.col("mark") == mark).orderBy(F.xxhash64("id"), "id", "text").limit(TRAIN_ROWS)
-        chosen += first.select("text", "mark").collect()
-    return train([(r["text"], r["mark"]) for r in chosen])
+    marks = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("kind"))
+    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
+    return train([(r["text"], r["kind"]) for r in first_by_hash(rows, TRAIN_ROWS, marks)])
 
 
 def severity(
