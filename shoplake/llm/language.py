@@ -19,9 +19,9 @@ of the next language; 1 if there is no other. Each input row gives one output ro
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplake.llm.common import CACHED_WORDS, arrow_map, table
+from shoplake.llm.common import CACHED_WORDS, arrow_map, first_by_hash, table
 
 TRAIN_ROWS = 64
 TRAIN_CHARS = 6000
@@ -87,13 +87,11 @@ def phrases(word: str, moves: dict[tuple[int, str], int]) -> int:
 
 def model(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[str, dict]]:
     """An automaton for each language of the bounded sample, by name."""
-    rows = labelled.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
-    rows = rows.where("lang IS NOT NULL").where(F.length("text") <= TRAIN_CHARS).where(F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
-    chosen = rows.withColumn("place", F.row_number().over(order)).where(f"place <= {TRAIN_ROWS}").collect()
+    rows = labelled.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("kind"))
+    rows = rows.where("kind IS NOT NULL").where(F.length("text") <= TRAIN_CHARS).where(F.col("text").rlike(r"\p{L}"))
     words: dict[str, dict] = {}
-    for row in chosen:
-        words.setdefault(row["lang"], {}).update(dict.fromkeys(LETTERS.findall(row["text"].lower())))
+    for row in first_by_hash(rows, TRAIN_ROWS):
+        words.setdefault(row["kind"], {}).update(dict.fromkeys(LETTERS.findall(row["text"].lower())))
     return [(name, automaton([f" {w} " for w in sorted(words[name])])) for name in sorted(words)]
 
 
