@@ -12,62 +12,52 @@ p(w | v) = (c(v, w) + K p(w)) / (c(v) + K),   p(w) = (c(w) + 1) / (N + V + 2)
 c(v) counts every occurrence of v, so a word that ends a text leaves its share to
 the end, which is not scored.
 
-Counts cover every document. They are made by block, so a bigram moves once for
-each block that has it; losses return to the blocks by join and are summed by
-position. Texts without words score null. Without labels the target counts are
+Counts cover every document. They are made by block and move as compressed columns,
+so a bigram moves once for each block that has it; its sums over all blocks return
+by join, and losses are summed by position. Texts without words score null. Without labels the target counts are
 zero, and both models still give every token a probability. Each input row gives
 one row; rows of one doc_id take the label of that id, the best of several.
 """
 
-import itertools
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplake.llm import blocks
-from shoplake.llm.blocks import by_document, expanded
-from shoplake.llm.common import arrow_map, store, table, utf8
+from shoplake.llm.blocks import by_document, expanded, squeezed
+from shoplake.llm.common import arrow_map, mixed, store, table, utf8
 
 VOCABULARY = 32_768
 #: Weight of the unigram model in the bigram model, as a number of tokens.
 PRIOR = 5.0
 START, UNKNOWN = 0, 1
+#: Bigrams, counted once for each block that has them, that meet in one task.
+PART_KEYS = 2_000_000
 
 
 def words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFrame:
-    """``id, text, target``."""
-    good = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max((F.col("quality") == 1).cast("int")).alias("target"))
-    rows = docs.select(F.col(f"`{id}`").cast("bigint").alias("id"), utf8(text).alias("text"))
-    return rows.join(good, "id", "left").select("text", "id", F.coalesce("target", F.lit(0)).alias("target"))
-
-
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``word, n`` and ``n_target`` over all documents."""
+    """``word, n`` over all documents."""
     def start():
-        totals = ({}, {})
+        totals = {}
 
-        def step(texts, targets):
-            for text, target in zip(texts, targets):
-                found = totals[target]
+        def step(texts):
+            for text in texts:
                 for word in words(text):
-                    found[word] = found.get(word, 0) + 1
-            return flush() if len(totals[0]) + len(totals[1]) > 1_000_000 else []
+                    totals[word] = totals.get(word, 0) + 1
+            return flush() if len(totals) > 1_000_000 else []
 
         def flush():
-            done = [(w, n, t * n) for t, found in enumerate(totals) for w, n in found.items()]
-            totals[0].clear()
-            totals[1].clear()
+            done = list(totals.items())
+            totals.clear()
             return done
 
         step.finish = lambda: [flush()]
         return step
 
-    parts = arrow_map(rows.select("text", "target"), "word binary, n bigint, n_target bigint", start)
-    return parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    return arrow_map(rows.select("text"), "word binary, n bigint", start).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def bigrams(rows: DataFrame, vocabulary: list[bytes]) -> DataFrame:
@@ -85,74 +75,144 @@ def bigrams(rows: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 
         return keys_of
 
-    return blocks.pack(rows, "bigint", start, "id bigint, target int", "bigrams")
+    return blocks.pack(rows, "bigint", start, "id bigint", "bigrams")
+
+
+def with_targets(packed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Blocks with the places of their target documents, ``good``.
+
+    Only ids meet the labels; texts and codes stay where they are. The places are
+    stored, so that Spark knows their size when it joins them.
+    """
+    good = labels.where("quality = 1").select(F.col("doc_id").alias("id")).distinct()
+    members = packed.select("block", F.posexplode("docs.id").alias("at", "id")).join(good, "id", "left_semi")
+    return packed.join(store(members.groupBy("block").agg(F.collect_list("at").alias("good")), "targets"), "block", "left")
+
 
+def both_counts(docs: list, good: list | None, codes: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often a block's documents, and its target documents, use each key."""
+    every, chosen = expanded(codes), np.zeros(len(docs), bool)
+    chosen[good or []] = True
+    inside = np.repeat(chosen, [m["n"] for m in docs])
+    return np.bincount(every, minlength=size), np.bincount(every[inside], minlength=size)
 
-def block_counts(packed: DataFrame) -> DataFrame:
-    """``block, place, key, n, n_target`` for every bigram of every block."""
+
+def unigrams(packed: DataFrame) -> DataFrame:
+    """``word, own, own_target`` over all blocks; the start token counts texts with words."""
     def start():
-        def step(names, keys, docs, codes):
+        def step(keys, docs, good, codes):
             out = []
-            for block, own, members, data in zip(names, keys, docs, codes):
-                every = expanded(data)
-                good = np.repeat([m["target"] == 1 for m in members], [m["n"] for m in members])
-                total = np.bincount(every, minlength=len(own))
-                target = np.bincount(every[good], minlength=len(own))
-                out.extend(zip(itertools.repeat(block), range(len(own)), own, total.tolist(), target.tolist()))
+            for own, *rest in zip(keys, docs, good, codes):
+                pair, counted = np.array(own, np.int64), both_counts(*rest, len(own))
+                word, first = pair & ((1 << 32) - 1), pair >> 32 == START
+                sums = [np.bincount(word, n).astype(np.int64) for n in counted]
+                used = np.flatnonzero(sums[0]) if len(pair) else []
+                out.extend((n, int(sums[0][n]), int(sums[1][n])) for n in used)
+                out.append((START, *(int(n[first].sum()) for n in counted)))
             return out
 
         return step
 
-    schema = "block bigint, place int, key bigint, n int, n_target int"
-    return arrow_map(packed.select("block", "keys", "docs", "codes"), schema, start, size=1)
+    parts = arrow_map(packed.select("keys", "docs", "good", "codes"), "word int, own bigint, own_target bigint", start, size=1)
+    return parts.groupBy("word").agg(F.sum("own").alias("own"), F.sum("own_target").alias("own_target"))
+
+
+def wide(values: np.ndarray) -> bytes:
+    """64-bit numbers as their low, then their high halves, compressed."""
+    return squeezed(np.concatenate([values & 0xFFFFFFFF, values >> 32]))
+
 
+def narrow(data: bytes) -> np.ndarray:
+    low, high = expanded(data).reshape(2, -1)
+    return high << 32 | low
 
-def losses(counts: DataFrame, known: DataFrame, vocabulary: int, total: tuple[int, int]) -> DataFrame:
-    """``block, place, loss``: target loss minus background loss of every bigram.
 
-    A bigram has one row for each block, so its sums over all blocks come from one
-    shuffle. ``known``: ``word, own, own_target``, at most the vocabulary's rows.
+def dealt(marked: DataFrame, parts: int) -> DataFrame:
+    """``part, block, keys, places, n, n_target``: the bigrams of every block, by hash.
+
+    Each row has compressed columns: keys in order, as differences, their places
+    in the block, and their counts there.
     """
-    of_key = Window.partitionBy("key")
-    pairs = counts.select(
-        "block", "place", F.shiftright("key", 32).cast("int").alias("before"),
-        F.col("key").bitwiseAND((1 << 32) - 1).cast("int").alias("word"),
-        F.sum("n").over(of_key).alias("n"), F.sum("n_target").over(of_key).alias("n_target"),
-    )
-    context = known.select(F.col("word").alias("before"), F.col("own").alias("all"), F.col("own_target").alias("all_target"))
-    joined = pairs.join(F.broadcast(known), "word").join(F.broadcast(context), "before")
+    def start():
+        def step(names, keys, docs, good, codes):
+            out = []
+            for block, own, *rest in zip(names, keys, docs, good, codes):
+                total, target = both_counts(*rest, len(own))
+                own = np.array(own, np.int64)
+                part = (mixed(own.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+                order = np.lexsort((own, part))
+                for places in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                    if len(places):
+                        out.append((int(part[places[0]]), block, wide(np.diff(own[places], prepend=0)),
+                                    squeezed(places), squeezed(total[places]), squeezed(target[places])))
+            return out
+
+        return step
+
+    schema = "part bigint, block bigint, keys binary, places binary, n binary, n_target binary"
+    return arrow_map(marked.select("block", "keys", "docs", "good", "codes"), schema, start, size=1)
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    """``block, keys, places, n, n_target`` with the counts of all blocks.
+
+    What meets in one task is one part: about ``PART_KEYS`` bigrams, and of a bigram
+    one count from each block.
+    """
+    def start():
+        def step(groups):
+            out = []
+            for rows in groups:
+                keys = [np.cumsum(narrow(r["keys"])) for r in rows]
+                _, which = np.unique(np.concatenate(keys), return_inverse=True)
+                sums = []
+                for name in ("n", "n_target"):
+                    every = np.zeros(which.max() + 1, np.int64)
+                    np.add.at(every, which, np.concatenate([expanded(r[name]) for r in rows]))
+                    sums.append(np.split(every[which], np.cumsum([len(k) for k in keys])[:-1]))
+                out.extend((r["block"], r["keys"], r["places"], wide(n), wide(t)) for r, n, t in zip(rows, *sums))
+            return out
 
-    def loss(n, own, context, size):
-        unigram = (F.col(own) + 1) / F.lit(float(size + vocabulary + 2))
-        return -F.log((F.col(n) + PRIOR * unigram) / (F.col(context) + PRIOR))
+        return step
 
-    difference = loss("n_target", "own_target", "all_target", total[1]) - loss("n", "own", "all", total[0])
-    return joined.select("block", "place", difference.alias("loss"))
+    by_part = parts.groupBy("part").agg(F.collect_list(F.struct("block", "keys", "places", "n", "n_target")).alias("rows"))
+    return arrow_map(by_part.select("rows"), "block bigint, keys binary, places binary, n binary, n_target binary", start, size=1)
 
 
 def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_tokens, score`` for every document."""
-    rows = labelled(docs, labels, id, text)
-    every = store(word_counts(rows), "words")
-    common = every.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    sums = every.agg(F.sum("n"), F.sum("n_target")).first()
-    texts = rows.where(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]")).agg(F.count("*"), F.sum("target")).first()
-    total, starts = (sums[0] or 0, sums[1] or 0), (texts[0], texts[1] or 0)
-    unknown = tuple(total[n] - sum(r[n + 1] for r in common) for n in (0, 1))
-    numbered = [(n, r[1], r[2]) for n, r in enumerate(common, UNKNOWN + 1)]
-    known = docs.sparkSession.createDataFrame(
-        [(START, *starts), (UNKNOWN, *unknown), *numbered], "word int, own bigint, own_target bigint")
+    rows = docs.select(utf8(text).alias("text"), F.col(f"`{id}`").cast("bigint").alias("id"))
+    common = word_counts(rows).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     packed = bigrams(rows, [bytes(r["word"]) for r in common])
-    found = losses(block_counts(packed), known, len(common), total)
+    marked = with_targets(packed, labels)
+    numbers = unigrams(marked).collect()
+    total = [sum(r[n] for r in numbers if r["word"] != START) for n in (1, 2)]
+    own = np.zeros((2, len(common) + UNKNOWN + 1))
+    for word, *n in numbers:
+        own[:, word] = n
+    shared = docs.sparkSession.sparkContext.broadcast((own, total))
+    size = packed.agg(F.sum(F.size("keys"))).first()[0] or 0
+    found = summed(dealt(marked, max(1, -(-size // PART_KEYS))))
 
     def start():
+        own, total = shared.value
+        unigram = (own + 1) / np.array([[n + own.shape[1]] for n in total])
+
+        def losses(keys, counts):
+            before, word = keys >> 32, keys & 0xFFFFFFFF
+            back, target = (
+                -np.log((n + PRIOR * unigram[at, word]) / (own[at, before] + PRIOR)) for at, n in enumerate(counts))
+            return target - back
+
         def step(*columns):
             out = []
-            for places, values, members, codes in zip(*columns):
-                loss = np.zeros(len(places or []))
-                loss[places or []] = values or []
-                for member, own in by_document(members, codes):
-                    out.append((member["id"], len(own), float(loss[own].mean()) if len(own) else None))
+            for keys, places, n, n_target, members, codes in zip(*columns):
+                places = [expanded(p) for p in places or []]
+                loss = np.zeros(sum(map(len, places)))
+                for at, *row in zip(places, keys or [], n or [], n_target or []):
+                    loss[at] = losses(np.cumsum(narrow(row[0])), [narrow(c) for c in row[1:]])
+                for member, used in by_document(members, codes):
+                    out.append((member["id"], len(used), float(loss[used].mean()) if len(used) else None))
             return out
 
         return step

@@ -178,6 +178,7 @@ def test_byte_planes_round_trip():
 def test_lm_score_matches_brute_force(docs, spark, monkeypatch):
     random.seed(9)
     monkeypatch.setattr(lm_score, "VOCABULARY", 6)
+    monkeypatch.setattr(lm_score, "PART_KEYS", 20)
     rows = [(n, " ".join(random.choices("a b c d e f g h I".split(), k=random.randrange(1, 20)))) for n in range(1, 30)]
     good = set(range(1, 12))
     labels = spark.createDataFrame([(n, int(n in good)) for n in range(1, 20)], "doc_id bigint, quality int")
