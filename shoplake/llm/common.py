@@ -8,7 +8,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from shoplake.workspace import new_folder
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
