@@ -94,20 +94,20 @@ def by_document(docs: list, codes: bytes):
         at += member["n"]
 
 
-def unpack(packed: DataFrame, values: DataFrame, schema: str, start) -> DataFrame:
+def unpack(packed: DataFrame, values: DataFrame, schema: str, start, carried: list[str] = []) -> DataFrame:
     """Join values back to the documents of their block.
 
-    ``start()`` gives a function of (lists of value columns, ``docs``, ``codes``) that
-    returns output rows. What meets in one task is one block. If ``values`` has a
+    ``start()`` gives a function of (lists of value columns, ``docs``, ``codes`` and the
+    ``carried`` columns of the blocks) that returns output rows. What meets in one task is one block. If ``values`` has a
     ``mark``, it must be that of the block.
     """
     columns = [c for c in values.columns if c not in ("block", "mark")]
     marks = [F.min("mark").alias("low"), F.max("mark").alias("high")] if "mark" in values.columns else []
     by_block = values.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias("found"), *marks)
-    joined = packed.select("block", "mark", "docs", "codes").join(by_block, "block", "left")
+    joined = packed.select("block", "mark", "docs", "codes", *carried).join(by_block, "block", "left")
     if marks:
         other = (F.col("low") != F.col("mark")) | (F.col("high") != F.col("mark"))
         error = F.raise_error(F.lit("the documents did not read the same twice; store them first")).cast("binary")
         joined = joined.withColumn("codes", F.when(other, error).otherwise(F.col("codes")))
     parts = [F.col(f"found.{c}").alias(c) for c in columns]
-    return arrow_map(joined.select(*parts, "docs", "codes"), schema, start, size=1)
+    return arrow_map(joined.select(*parts, "docs", "codes", *carried), schema, start, size=1)

@@ -205,6 +205,23 @@ def test_lm_score_matches_brute_force(docs, spark, monkeypatch):
         assert math.isclose(found[n].score, expected, rel_tol=1e-9)
 
 
+def test_lm_score_tells_rare_words_apart(docs, spark):
+    """More words than any fixed vocabulary; bigrams of rare words are not merged."""
+    many = " ".join(f"w{n}" for n in range(40_000))
+    rows = [(1, f"{many} {many}"), (2, "rareone raretwo"), (3, "rareone raretwo"), (4, "rareone rarethree"), (5, "rarefour raretwo")]
+    labels = spark.createDataFrame([(2, 1)], "doc_id bigint, quality int")
+    found = {r.doc_id: r.score for r in lm_score.score(docs(*rows), labels).collect()}
+
+    def loss(pair, before, word, total):
+        return -math.log((pair + 5 * (word + 1) / (total + 40_004 + 2)) / (before + 5))
+
+    total = 80_008
+    first = loss(1, 1, 1, 2) - loss(3, 5, 3, total)
+    assert math.isclose(found[2], (first + loss(1, 1, 1, 2) - loss(2, 3, 3, total)) / 2, rel_tol=1e-9)
+    assert found[3] == found[2] and math.isclose(
+        found[4], (first + loss(0, 1, 0, 2) - loss(1, 3, 1, total)) / 2, rel_tol=1e-9)
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame([
         ("a", None, "add", '{"y": 2, "x": 1}'), ("b", "a", "add", '{"x": 1}'), ("c", "b", "add", "{bad"),
