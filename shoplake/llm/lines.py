@@ -2,7 +2,8 @@
 
 A line is what ``\\n`` separates, without ASCII white space at its ends. Lines of
 at least ``MIN_CHARS`` code points are compared over all documents; shorter ones
-(and blank ones) always stay. A line is dropped if an equal line, or one within
+(and blank ones) always stay, unless ``min_chars`` is lower: lines between the two
+are then compared for equality only. A line is dropped if an equal line, or one within
 one edit (a code point put in, left out or replaced), occurs earlier; earlier
 means a smaller doc_id, then a smaller line number. The earlier line counts
 whether or not it is dropped itself.
@@ -77,18 +78,23 @@ def variants(line: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mixed(keys + lengths), np.concatenate([np.arange(size), [-1]])
 
 
-def line_rows(rows: DataFrame) -> DataFrame:
-    """``id, row, at, name_a, name_b, halves`` for every line that is compared."""
+def line_rows(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``id, row, at, name_a, name_b, halves`` for every line that is compared.
+
+    Lines below ``MIN_CHARS`` have no halves, so they meet equal lines only.
+    """
     def start():
         def step(ids, numbers, texts):
             out = []
             for name, number, text in zip(ids, numbers, texts):
                 for at, line in enumerate((text or b"").split(b"\n")):
                     line = line.strip()
-                    if len(line) >= MIN_CHARS and (line.isascii() or len(line.decode()) >= MIN_CHARS):
+                    size = len(line) if line.isascii() else len(line.decode())
+                    if size >= max(min_chars, 1):
                         digest = xxhash.xxh3_128_digest(line)
                         out.append((name, number, at, int.from_bytes(digest[:8], "big", signed=True),
-                                    int.from_bytes(digest[8:], "big", signed=True), halves(line)))
+                                    int.from_bytes(digest[8:], "big", signed=True),
+                                    halves(line) if size >= MIN_CHARS else []))
             return out
 
         return step
@@ -131,12 +137,12 @@ def with_text(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     return found.select(F.when(~F.col("no_id"), F.col("id")).alias("id"), "row", "at", line.alias("text"))
 
 
-def dropped(rows: DataFrame) -> DataFrame:
+def dropped(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The lines to drop, ``id, row, at, near``, of documents ``id, row, text``.
 
     ``near``: no earlier line is equal, but one is within an edit.
     """
-    lines = store(line_rows(rows), "lines")
+    lines = store(line_rows(rows, min_chars), "lines")
     names = ["name_a", "name_b"]
     distinct = store(
         lines.withColumn("line", where()).groupBy(*names).agg(F.min("line").alias("line"), F.first("halves").alias("halves")),
@@ -175,12 +181,13 @@ def dropped(rows: DataFrame) -> DataFrame:
     )
 
 
-def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """All columns of ``docs``, what stays of the text, and three counts.
 
     Added, in place of columns of these names: ``text_kept`` (null for null text),
     ``n_lines``, ``n_copies`` and ``n_near``, the lines dropped for an equal line
-    and for one within an edit.
+    and for one within an edit. Equal lines of at least ``min_chars`` code points are
+    compared, and those within an edit from ``MIN_CHARS`` on.
     """
     added = ["text_kept", "n_lines", "n_copies", "n_near"]
     rows = docs.select(
@@ -188,7 +195,7 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         F.col(f"`{id}`").cast("bigint").alias("id"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("row"),
     )
     body = F.col(f"doc.`{text}`").cast("string")
-    gone = dropped(rows.select("id", "row", body.cast("binary").alias("text"))).groupBy(
+    gone = dropped(rows.select("id", "row", body.cast("binary").alias("text")), min_chars).groupBy(
         F.col("id").alias("its_id"), F.col("row").alias("its_row")
     ).agg(F.collect_list("at").alias("gone"), F.count_if("near").alias("near"))
     every = F.split(body, "\n", -1)

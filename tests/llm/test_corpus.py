@@ -56,6 +56,16 @@ def test_line_dedup_matches_brute_force(docs):
     assert lines.dedup(docs((1, "a")).limit(0)).count() == 0
 
 
+def test_pipeline_drops_equal_lines_of_any_length(docs, spark):
+    import corpus_pipeline
+
+    long = "a line of more than twenty characters"
+    rows = [(1, f"short\n{long}\n全角的短句\n"), (2, f"{long}\nshort\n"), (3, "全角的短句"), (4, "shorp\n\nshort"), (5, " \n"), (6, None)]
+    found = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs(*rows), "").collect()}
+    # 2 and 3 have nothing of their own; 4 keeps its near copy, as short lines have no one-edit rule
+    assert found == {1: rows[0][1], 4: "shorp\n", 5: " \n", 6: None}
+
+
 def test_deletion_variants_are_equal_where_texts_are():
     for line in (b"abcdefgh", "né à 👍x".encode()):
         text = line.decode()
