@@ -62,10 +62,16 @@ def fit_recommender(
 ) -> ALSModel:
     """Implicit-feedback ALS; long runs cut their lineage at the checkpoint folder.
 
-    The rank has to stay below the number of users and of products, or users
-    whose ratings are all 0 have no unique factors and the fit fails.
+    Users or products whose ratings are all 0 have unique factors only if at least
+    ``rank`` products and users have others; without them Spark's fit fails. There, and
+    only there, the rank is the number of those rated, which bounds the independent
+    factors anyway; the model tells its rank.
     """
     use_checkpoints(training.sparkSession)
+    best = [training.groupBy(key).agg(F.max("rating").alias("best")) for key in ("userId", "productId")]
+    sizes = [b.agg(F.count("*").alias("n"), F.count_if(F.col("best") > 0).alias("rated")).first() for b in best]
+    if any(n > rated for n, rated in sizes):
+        rank = max(1, min(rank, *(rated for _, rated in sizes)))
     if blocks is None:
         blocks = training.sparkSession.sparkContext.defaultParallelism * params.ALS_BLOCK_FACTOR
     return ALS(
@@ -113,8 +119,9 @@ def train_recommender(events: DataFrame, folder: str, k: int = params.TOP_K, **m
         ["category_code"],
     )
     options = {
-        "rank": params.ALS_RANK, "iterations": params.ALS_ITERATIONS,
+        "iterations": params.ALS_ITERATIONS,
         "regularization": params.ALS_REGULARIZATION, "alpha": params.ALS_ALPHA, **model_options,
+        "rank": model.rank,
     }
     described = {
         "model_type": "ALS", "num_users": indexed.users.count(),

@@ -25,10 +25,6 @@ TOP_K = params.TOP_K
 # Few enough that "other" occurs in the smallest tables.
 TOP_N = 3
 
-# The rank stays below the number of users in the smallest tables; jobs use the
-# values in params.
-ALS_SIZE = {"rank": 8, "iterations": 5}
-
 
 def scores_sql(source: str) -> str:
     return f"""
@@ -280,7 +276,7 @@ def item_coverage(spark: SparkSession, folder: str) -> DataFrame:
 @query("als_recs")
 def als_recs(spark: SparkSession, folder: str) -> DataFrame:
     indexed = training.ratings(valid_events(spark, folder), new_folder(spark, "als_recs"))
-    model = training.fit_recommender(indexed.rows, **ALS_SIZE)
+    model = training.fit_recommender(indexed.rows)
     return training.recommend(model, indexed)
 
 
@@ -301,7 +297,7 @@ def als_recs_shape(spark: SparkSession, folder: str) -> DataFrame:
 @query("als_recs_orders")
 def als_recs_orders(spark: SparkSession, folder: str) -> DataFrame:
     indexed = training.ratings(valid_orders(spark, folder), new_folder(spark, "als_recs_orders"))
-    model = training.fit_recommender(indexed.rows, **ALS_SIZE)
+    model = training.fit_recommender(indexed.rows)
     return training.recommend(model, indexed)
 
 
@@ -315,7 +311,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     events = valid_events(spark, folder)
 
     ratings = training.ratings(events, f"{path}/tables").rows
-    recommender = training.fit_recommender(ratings, **ALS_SIZE)
+    recommender = training.fit_recommender(ratings)
     models.save_model(recommender, f"{path}/als")
     users = models.load_model(ALSModel, f"{path}/als").userFactors.agg(F.count(F.lit(1)).alias("size"))
 
@@ -350,9 +346,7 @@ def model_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("train_recommender")
 def train_recommender(spark: SparkSession, folder: str) -> DataFrame:
-    return training.train_recommender(
-        valid_events(spark, folder), new_folder(spark, "recommender"), **ALS_SIZE
-    )
+    return training.train_recommender(valid_events(spark, folder), new_folder(spark, "recommender"))
 
 
 # --- classifier features ---------------------------------------------------

@@ -121,3 +121,22 @@ def test_recommender_job(spark, sf_dir, tmp_path):
     from pyspark.ml.recommendation import ALSModel
     assert load_model(ALSModel, str(tmp_path / "model")).rank == 4
     assert load_metadata(spark, str(tmp_path / "metadata")).count() == len(values)
+
+
+def test_registered_recommenders_have_the_documented_size(spark, sf_dir, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+
+    from shoplake import params
+    from shoplake.registry import QUERIES
+
+    class Reached(Exception):
+        pass
+
+    def fit(self, dataset, *_):
+        raise Reached(self.getRank(), self.getMaxIter())
+
+    monkeypatch.setattr(ALS, "fit", fit)
+    for name in ("als_recs", "als_recs_shape", "als_recs_orders", "model_roundtrip", "train_recommender"):
+        with pytest.raises(Reached) as found:
+            QUERIES[name](spark, "/root/testdata/sf0.1")
+        assert found.value.args == (params.ALS_RANK, params.ALS_ITERATIONS) == (150, 15), name
