@@ -1,6 +1,9 @@
 """The operators' queries over the test tables, and SQL they must agree with."""
 
-from shoplake.llm import bpe, chat, decontamination, jaccard, language, lines, lm_score, quality, token_counts, toxicity
+from shoplake.llm import (
+    bpe, chat, conversations, decontamination, jaccard, language, lines, lm_score, quality, secrets, token_counts, toxicity,
+    vector_codes,
+)
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -13,6 +16,9 @@ QUERIES = {
     "op4_ngram_jaccard_join": jaccard.query,
     "op8_benchmark_decontamination": decontamination.query,
     "op9_bpe": bpe.query,
+    "op11_secret_scans": secrets.query,
+    "op12_conversation_repair": conversations.query,
+    "op13_vector_codes": vector_codes.query,
 }
 
 ORACLES = {
@@ -20,4 +26,6 @@ ORACLES = {
     "op2_line_dedup": lines.ORACLE,
     "op4_ngram_jaccard_join": jaccard.ORACLE,
     "op8_benchmark_decontamination": decontamination.ORACLE,
+    "op12_conversation_repair": conversations.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
