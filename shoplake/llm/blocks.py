@@ -30,8 +30,8 @@ def expanded(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def pack(docs: DataFrame, key: str, start, carried: str = "", label: str | None = None) -> DataFrame:
-    """One row for each block: ``block, mark, keys, docs, codes``; stored if there is a label.
+def pack(docs: DataFrame, key: str, start, carried: str = "", label: str | None = None, most: int = BLOCK_BYTES) -> DataFrame:
+    """One row for each block, of at most ``most`` bytes of text or one document: ``block, mark, keys, docs, codes``; stored if there is a label.
 
     Input rows are the text as bytes, then the ``carried`` columns (DDL). ``docs``
     has those and the number of keys of each document, ``n``. ``codes`` has all
@@ -66,7 +66,7 @@ def pack(docs: DataFrame, key: str, start, carried: str = "", label: str | None
             done = []
             for text, *rest in zip(texts, *others):
                 size = len(text or b"")
-                if members and state["bytes"] + size > BLOCK_BYTES:
+                if members and state["bytes"] + size > most:
                     done.append(close())
                 state["bytes"] += size
                 own = keys_of(text or b"")

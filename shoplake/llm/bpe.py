@@ -1,95 +1,89 @@
 """BPE encoding and decoding over a table of distinct words.
 
 The tokenizer never merges across white space and its normalizer works within
-words, so a text's ids are the ids of its words in order. Every
-distinct word is encoded once; ids return by position; decoding joins
-token ids with the table of pieces.
+words, so a text's ids are the ids of its words in order.
+
+1. Each task splits its texts into words and packs them into blocks: the distinct
+   words of some documents, and the documents as places in that list.
+2. The words of all blocks are grouped into one table of distinct words, each with
+   the (block, place) where it stands. A word that every block holds would collect
+   without bound, so words are grouped by lots of ``LOT`` tasks.
+3. Every word of the table is encoded once; its ids go back to the places of its
+   blocks, and the documents of a block read theirs by place.
+4. Decoding joins token ids with the table of pieces.
 
 Texts are split once for their words and once for their places rather than stored
-between the two; the input must read the same twice, as files and stored tables do,
-and the job fails if it does not.
+between the two; the input must read the same twice, as files and stored tables do.
+Blocks are named by a hash of what they hold, and the job fails if a name is not met.
 
 Null and empty texts have no ids and decode to the empty text. Every input row
 gives one output row, repeated rows and null identifiers included; other columns
 are not read.
 """
 
+import functools
 import hashlib
-import itertools
 import os
-import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
 from shoplake.llm import blocks
-from shoplake.llm.blocks import by_document, expanded, squeezed
-from shoplake.llm.common import CACHED_WORDS, arrow_map, table, utf8
+from shoplake.llm.blocks import by_document
+from shoplake.llm.common import arrow_map, store, table, utf8
+from shoplake.workspace import session_settings
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct words are dealt to this many parts.
-PARTS = 256
+#: Text in a block; few blocks are in a task's memory at a time.
+BLOCK_BYTES = 16_000_000
+#: Tasks whose blocks share a row of the distinct-word table.
+LOT = 1024
+WORDS_PER_BATCH = 4096
+BATCH_BYTES = "16m"
 
 
 def split(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Blocks of documents with their distinct words."""
+    """``block, lot, keys, docs, codes``: blocks of documents with their distinct words."""
     rows = docs.select(utf8(text).alias("text"), F.col(f"`{id}`").cast("bigint").alias("id"))
-    return blocks.pack(rows, "binary", lambda: bytes.split, "id bigint")
+    packed = blocks.pack(rows, "binary", lambda: bytes.split, "id bigint", most=BLOCK_BYTES)
+    lot = (F.shiftright("block", 32) / LOT).cast("int").alias("lot")
+    return packed.select(F.xxhash64("block", "mark", "keys").alias("block"), lot, "keys", "docs", "codes")
 
 
-def parts(packed: DataFrame) -> DataFrame:
-    """``part, block, mark, places, words``: the distinct words of blocks, dealt by hash.
+def distinct_words(packed: DataFrame) -> DataFrame:
+    """``word, lot, uses``: every distinct word of a lot with the blocks and places that hold it."""
+    words = packed.select("block", "lot", F.posexplode("keys").alias("place", "word"))
+    return words.groupBy("word", "lot").agg(F.collect_list(F.struct("block", "place")).alias("uses"))
 
-    Equal words of all blocks come to one part, each block with one row in it.
-    """
-    def start():
-        def step(names, marks, keys):
-            out = []
-            for block, mark, words in zip(names, marks, keys):
-                dealt = {}
-                for place, word in enumerate(words):
-                    dealt.setdefault(zlib.crc32(word) % PARTS, []).append(place)
-                out.extend((part, block, mark, squeezed(np.array(places)), b"\n".join([words[n] for n in places]))
-                           for part, places in dealt.items())
-            return out
 
-        return step
+def encode_words(words: DataFrame, path: str) -> DataFrame:
+    """The table of distinct words with their ``ids``, each word encoded once."""
+    def start():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_file(path)
 
-    schema = "part int, block bigint, mark bigint, places binary, words binary"
-    return arrow_map(packed.select("block", "mark", "keys"), schema, start, size=1)
+    @F.pandas_udf("array<int>")
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokenizer = start()
+        for batch in batches:
+            texts, found = [w.decode() for w in batch], []
+            for at in range(0, len(texts), WORDS_PER_BATCH):
+                found += [e.ids for e in tokenizer.encode_batch(texts[at:at + WORDS_PER_BATCH], add_special_tokens=False)]
+            yield pd.Series(found, dtype=object)
 
+    return words.withColumn("ids", ids("word"))
 
-def encode_words(dealt: DataFrame, path: str) -> DataFrame:
-    """``block, mark, places, sizes, ids``: the ids of the words, each distinct word encoded once.
 
-    A task remembers the words of its part, up to a bounded number.
-    """
-    def start():
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer, known, last = Tokenizer.from_file(path), {}, [None]
-
-        def step(part, block, marks, places, words):
-            out = []
-            for p, b, mark, at, text in zip(part, block, marks, places, words):
-                if p != last[0] or len(known) > CACHED_WORDS:
-                    known.clear()
-                    last[0] = p
-                every = text.split(b"\n")
-                new = [w for w in every if w not in known]
-                encoded = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-                known.update((w, e.ids) for w, e in zip(new, encoded))
-                ids = [known[w] for w in every]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(sizes.sum()))
-                out.append((b, mark, at, squeezed(sizes), squeezed(flat)))
-            return out
-
-        return step
-
-    together = dealt.repartition("part").sortWithinPartitions("part")
-    return arrow_map(together.select("part", "block", "mark", "places", "words"), "block bigint, mark bigint, places binary, sizes binary, ids binary", start, size=16)
+def returned(packed: DataFrame, encoded: DataFrame) -> DataFrame:
+    """Blocks with ``places, sizes, flat``: the ids of the word at each place."""
+    one = encoded.select(F.explode("uses").alias("use"), "ids").select("use.block", "use.place", "ids")
+    found = one.groupBy("block").agg(F.collect_list(F.struct("place", "ids")).alias("found")).select(
+        "block", F.col("found.place").alias("places"), F.transform("found.ids", F.size).alias("sizes"), F.flatten("found.ids").alias("flat"))
+    return packed.select("block", "docs", "codes").join(found, "block", "left")
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -131,10 +125,13 @@ def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str |
 
 def _joined(docs, id, text, path, schema, row) -> DataFrame:
     packed = split(docs, id, text)
-    ids = encode_words(parts(packed), path)
     vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
     shared = docs.sparkSession.sparkContext.broadcast({n: piece.encode() for piece, n in vocabulary.items()})
-    return blocks.unpack(packed, ids, schema, lambda: _rows(shared.value, row))
+    whole = returned(packed, encode_words(distinct_words(packed), path))
+    result = arrow_map(whole.select("places", "sizes", "flat", "docs", "codes"), schema, lambda: _rows(shared.value, row), size=1, bunch=64)
+    # a row holds a block, so bytes and not rows bound what crosses to Python together
+    with session_settings(docs.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch=BATCH_BYTES):
+        return store(result, "encoded")
 
 
 def _rows(piece_of, row):
@@ -144,20 +141,21 @@ def _rows(piece_of, row):
     words' ids with a broadcast copy of it.
     """
     def step(*columns):
-        out = []
-        for places, sizes, ids, docs, codes in zip(*columns):
-            at = np.concatenate([np.empty(0, np.int64), *map(expanded, places or [])]).astype(np.int64)
-            count = np.concatenate([at[:0], *map(expanded, sizes or [])])
-            flat = np.concatenate([at[:0], *map(expanded, ids or [])])
+        for places, sizes, flat, docs, codes in zip(*columns):
+            at, count, flat = (np.array(c or (), np.int64) for c in (places, sizes, flat))
             lengths, starts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             lengths[at], starts[at] = count, np.cumsum(count) - count
-            pieces_of = list(map(piece_of.__getitem__, flat.tolist()))
-            words = [b" ".join(pieces_of[s:s + n]) for s, n in zip(starts.tolist(), lengths.tolist())]
+
+            @functools.lru_cache(maxsize=None)
+            def piece(place):
+                return b" ".join(map(piece_of.__getitem__, flat[starts[place]:starts[place] + lengths[place]].tolist()))
+
             for member, own in by_document(docs, codes):
+                if len(own) and own.max() >= len(at):
+                    raise RuntimeError("the documents did not read the same twice; store them first")
                 size = lengths[own]
                 shift = np.repeat(starts[own] - (np.cumsum(size) - size), size)
-                out.append(row(member["id"], flat[shift + np.arange(len(shift))], [w for w in map(words.__getitem__, own.tolist()) if w]))
-        return out
+                yield row(member["id"], flat[shift + np.arange(len(shift))], filter(None, map(piece, own.tolist())))
 
     return step
 

@@ -1,5 +1,7 @@
 """Helpers the operators share: tables, words, Arrow tasks, stored results."""
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -59,11 +61,12 @@ def first_by_hash(texts: DataFrame, limit: int, marks: DataFrame | None = None)
     return sorted(found.collect(), key=lambda row: (row["kind"], row["id"]))
 
 
-def arrow_map(frame: DataFrame, schema: str, start, size: int = 128) -> DataFrame:
+def arrow_map(frame: DataFrame, schema: str, start, size: int = 128, bunch: int = 100_000) -> DataFrame:
     """Run Python over the rows of each partition.
 
     ``start()`` is called once per task and returns a function that turns a list
-    of input columns (at most ``size`` rows each) into output rows. If that function
+    of input columns (at most ``size`` rows each) into output rows, a list or an
+    iterator, of which ``bunch`` leave together. If that function
     has an attribute ``finish``, it is called at the end for the last rows.
     """
     kind = T.StructType.fromDDL(schema)
@@ -76,17 +79,19 @@ def arrow_map(frame: DataFrame, schema: str, start, size: int = 128) -> DataFram
         )
 
     def run(batches):
+        def packed(rows):
+            left = iter(rows)
+            while part := list(itertools.islice(left, bunch)):
+                yield pack(part)
+
         step = start()
         for batch in batches:
             for at in range(0, batch.num_rows, size):
-                rows = step(*[c.to_pylist() for c in batch.slice(at, size).columns])
-                if rows:
-                    yield pack(rows)
+                yield from packed(step(*[c.to_pylist() for c in batch.slice(at, size).columns]))
         finish = getattr(step, "finish", None)
         if finish is not None:
             for rows in finish():
-                if rows:
-                    yield pack(rows)
+                yield from packed(rows)
 
     return frame.mapInArrow(run, schema)
 
