@@ -1,14 +1,15 @@
 """Language identification by cross-parsing entropy.
 
-For each language, a suffix automaton holds the distinct words of labelled text.
-A text's words (runs of letters, lowered, with a space at either end) are parsed from left to right into the
+For each language, a suffix automaton holds the distinct words of labelled text, so
+phrases end where words do. A text's words (runs of letters and their marks, lowered,
+with a space at either end) are parsed from left to right into the
 longest phrases that the automaton holds; a character it lacks is a phrase. The
 language needing the fewest phrases for each character wins; ties go to the
 language whose name comes first.
 
 The automata are built from at most ``TRAIN_ROWS`` documents of each language
-(those that come first by a hash of doc_id, with at most ``TRAIN_CHARS``
-characters); the query takes only documents whose crc32(doc_id as text) mod 4 is
+(those that come first by a hash of doc_id), of each of which at most ``TRAIN_CHARS``
+characters are learned; the query takes only documents whose crc32(doc_id as text) mod 4 is
 not 2. Every whole text is predicted from its text alone.
 
 Null text, text without letters, and any text when no labelled row can be learned
@@ -16,16 +17,37 @@ from get ``und`` with score 0. ``score``: one minus the winner's phrases over th
 of the next language; 1 if there is no other. Each input row gives one output row.
 """
 
+import functools
 import re
+import sys
+import unicodedata
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplake.llm.common import CACHED_WORDS, arrow_map, first_by_hash, table
 
 TRAIN_ROWS = 64
 TRAIN_CHARS = 6000
-LETTERS = re.compile(r"[^\W\d_]+")
+_PLAIN = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+
+
+@functools.cache
+def special() -> np.ndarray:
+    """Code points that are marks, or numbers that ``_PLAIN`` takes for letters, such as a half."""
+    kinds = map(unicodedata.category, map(chr, range(sys.maxunicode + 1)))
+    return np.fromiter((kind[0] == "M" or kind in ("Nl", "No") for kind in kinds), bool, sys.maxunicode + 1)
+
+
+def runs_of_letters(text: str) -> list[str]:
+    """Runs of letters (Unicode category L) with the marks that follow them."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    plain = text.isascii() or not special()[points].any()
+    return (_PLAIN if plain else _LETTERS).findall(text)
+
+
 #: Longer words are parsed each time they occur instead of being remembered.
 REMEMBERED = 40
 
@@ -88,10 +110,11 @@ def phrases(word: str, moves: dict[tuple[int, str], int]) -> int:
 def model(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[str, dict]]:
     """An automaton for each language of the bounded sample, by name."""
     rows = labelled.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("kind"))
-    rows = rows.where("kind IS NOT NULL").where(F.length("text") <= TRAIN_CHARS).where(F.col("text").rlike(r"\p{L}"))
+    rows = rows.where("kind IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("text", F.substring(F.regexp_extract("text", r"(?s)\p{L}.*", 0), 1, TRAIN_CHARS))
     words: dict[str, dict] = {}
     for row in first_by_hash(rows, TRAIN_ROWS):
-        words.setdefault(row["kind"], {}).update(dict.fromkeys(LETTERS.findall(row["text"].lower())))
+        words.setdefault(row["kind"], {}).update(dict.fromkeys(runs_of_letters(row["text"].lower())))
     return [(name, automaton([f" {w} " for w in sorted(words[name])])) for name in sorted(words)]
 
 
@@ -117,7 +140,7 @@ def predict(docs: DataFrame, fitted: list[tuple[str, dict]], id: str = "doc_id",
             if len(known) > CACHED_WORDS:
                 known.clear()
             for name, body in zip(ids, texts):
-                words = LETTERS.findall((body or "").lower())
+                words = runs_of_letters((body or "").lower())
                 if not words or not names:
                     out.append((name, "und", 0.0, None))
                     continue
