@@ -1,12 +1,11 @@
 """Line dedup by a deletion-neighbourhood join.
 
-A line is what ``\\n`` separates, without ASCII white space at its ends. Lines of
-at least ``MIN_CHARS`` code points are compared over all documents; shorter ones
-(and blank ones) always stay, unless ``min_chars`` is lower: lines between the two
-are then compared for equality only. A line is dropped if an equal line, or one within
-one edit (a code point put in, left out or replaced), occurs earlier; earlier
+A line is what ``\\n`` separates, without ASCII white space at its ends. A line that
+is not blank is dropped if an equal line occurs earlier in any document, or, if both
+have at least ``MIN_CHARS`` code points, one within one edit (a code point put in,
+left out or replaced): in shorter ones an edit often makes another word. Earlier
 means a smaller doc_id, then a smaller line number. The earlier line counts
-whether or not it is dropped itself.
+whether or not it is dropped itself. A higher ``min_chars`` leaves lines below it alone.
 
 1. Equal lines become one, named by a 128-bit hash; its first place is kept.
 2. A line within one edit of another shares one of its halves, unshifted or seen
@@ -78,7 +77,7 @@ def variants(line: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mixed(keys + lengths), np.concatenate([np.arange(size), [-1]])
 
 
-def line_rows(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_rows(rows: DataFrame, min_chars: int = 1) -> DataFrame:
     """``id, row, at, name_a, name_b, halves`` for every line that is compared.
 
     Lines below ``MIN_CHARS`` have no halves, so they meet equal lines only.
@@ -137,7 +136,7 @@ def with_text(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     return found.select(F.when(~F.col("no_id"), F.col("id")).alias("id"), "row", "at", line.alias("text"))
 
 
-def dropped(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped(rows: DataFrame, min_chars: int = 1) -> DataFrame:
     """The lines to drop, ``id, row, at, near``, of documents ``id, row, text``.
 
     ``near``: no earlier line is equal, but one is within an edit.
@@ -181,13 +180,12 @@ def dropped(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = 1) -> DataFrame:
     """All columns of ``docs``, what stays of the text, and three counts.
 
     Added, in place of columns of these names: ``text_kept`` (null for null text),
     ``n_lines``, ``n_copies`` and ``n_near``, the lines dropped for an equal line
-    and for one within an edit. Equal lines of at least ``min_chars`` code points are
-    compared, and those within an edit from ``MIN_CHARS`` on.
+    and for one within an edit.
     """
     added = ["text_kept", "n_lines", "n_copies", "n_near"]
     rows = docs.select(
@@ -222,14 +220,15 @@ ORACLE = r"""
 WITH l AS (SELECT doc_id, i - 1 AS pos, raw, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s
   FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS i, unnest(p) AS raw
         FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))),
-u AS (SELECT s, min((doc_id, pos)) AS f FROM l WHERE length(s) >= 20 GROUP BY s),
-v AS (SELECT s, f, i, left(s, i) || substr(s, i + 2) AS v FROM (SELECT s, f, unnest(range(0, length(s))) AS i FROM u)),
+u AS (SELECT s, min((doc_id, pos)) AS f FROM l WHERE s <> '' GROUP BY s),
+c AS (SELECT s, f FROM u WHERE length(s) >= 20),
+v AS (SELECT s, f, i, left(s, i) || substr(s, i + 2) AS v FROM (SELECT s, f, unnest(range(0, length(s))) AS i FROM c)),
 m AS (SELECT v, i, min(f) AS f FROM v GROUP BY 1, 2),
 mv AS (SELECT v, min(f) AS f FROM v GROUP BY 1),
 near AS (SELECT DISTINCT s FROM (
   SELECT v.s FROM v JOIN m USING (v, i) WHERE m.f < v.f
-  UNION ALL SELECT v.s FROM v JOIN u ON v.v = u.s WHERE u.f < v.f
-  UNION ALL SELECT u.s FROM u JOIN mv ON mv.v = u.s WHERE mv.f < u.f)),
+  UNION ALL SELECT v.s FROM v JOIN c ON v.v = c.s WHERE c.f < v.f
+  UNION ALL SELECT c.s FROM c JOIN mv ON mv.v = c.s WHERE mv.f < c.f)),
 k AS (SELECT l.doc_id, l.pos, l.raw, u.f IS NOT NULL AND u.f <> (l.doc_id, l.pos) AS copied,
   u.f IS NOT NULL AND u.f = (l.doc_id, l.pos) AND near.s IS NOT NULL AS near
   FROM l LEFT JOIN u ON u.s = l.s LEFT JOIN near ON near.s = l.s)

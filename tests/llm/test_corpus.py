@@ -29,7 +29,7 @@ def edits(a, b):
 def test_line_dedup_matches_brute_force(docs):
     random.seed(3)
     base = ["the quick brown fox jumps over", "lörem ipsum dolor sit amet, aa", "short", "x" * 30]
-    pool = list(base)
+    pool = [*base, "shorp", "全角", "nineteen characters", "nineteen characters."]
     for line in base:
         for _ in range(6):
             n = random.randrange(len(line))
@@ -41,12 +41,13 @@ def test_line_dedup_matches_brute_force(docs):
         kept, copies, near = [], 0, 0
         for line in text.split("\n"):
             key = line.strip(" \t\n\r\x0b\x0c")
-            if len(key) < lines.MIN_CHARS:
+            if not key:
                 kept.append(line)
                 continue
+            long = len(key) >= lines.MIN_CHARS
             if key in earlier:
                 copies += 1
-            elif any(edits(key, other) <= 1 for other in earlier):
+            elif long and any(edits(key, other) <= 1 for other in earlier if len(other) >= lines.MIN_CHARS):
                 near += 1
             else:
                 kept.append(line)
@@ -111,6 +112,29 @@ def test_jaccard_join_matches_brute_force(docs, monkeypatch, paired):
     assert jaccard.join(docs((1, "a b c")).limit(0)).count() == 0
 
 
+def test_jaccard_rows_of_one_id_are_one_node(docs):
+    x, y = " ".join(f"x{n}" for n in range(30)), " ".join(f"y{n}" for n in range(30))
+    found = jaccard.join(docs((3, x), (5, x), (5, y), (7, y), (8, "z"), (9, None), (9, y))).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (5, 3), (5, 3), (7, 3), (8, 8), (9, 3), (9, 3)]
+
+
+def test_pairs_of_blocks_are_dealt_before_they_are_gathered(spark, monkeypatch):
+    members = spark.range(200).select(F.lit(1).alias("group"), "id")
+    pairs = jaccard.blockwise(members, F.ceil(F.count("*") / 20), lambda left, right, same: [(len(left), len(right), same)], "l int, r int, same boolean")
+    found = pairs.groupBy("same").agg(F.count("*").alias("n"), F.sum("l").alias("l")).collect()
+    assert {r.same: r.n for r in found} == {True: 10, False: 45} and {r.same: r.l for r in found}[True] == 200
+
+
+def test_pipeline_stage_keeps_one_row_of_each_group(docs, spark):
+    x = " ".join(f"x{n}" for n in range(30))
+    rows = [(1, "a"), (1, "b"), (2, x), (2, "c"), (0, x), (None, x), (None, x), (None, None), (None, "lone words here")]
+    found = corpus_pipeline.ngram_jaccard(spark, docs(*rows), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(
+        [(1, "a"), (1, "b"), (2, "c"), (0, x), (None, None), (None, "lone words here")], key=str)
+    nulls = corpus_pipeline.ngram_jaccard(spark, docs((None, x), (None, x)), "").collect()
+    assert [(r.doc_id, r.text) for r in nulls] == [(None, x)]
+
+
 def test_overlap_counts_over_column_blocks(monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_COLUMNS", 7)
     random.seed(6)
@@ -172,6 +196,15 @@ def test_bpe_matches_the_library(docs, monkeypatch):
     assert bpe.digests(docs((1, "a")).limit(0)).count() == 0
 
 
+def test_distinct_words_are_encoded_once(docs, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 30)
+    rows = docs(*[(n, f"the same words and w{n % 3}") for n in range(40)])
+    table = bpe.distinct_words(bpe.split(rows)).collect()
+    assert sorted(bytes(r.word) for r in table) == sorted(w.encode() for w in "the same words and w0 w1 w2".split())
+    assert max(len(r.uses) for r in table) > 10
+    assert bpe.digests(rows).select("ids_sha256").distinct().count() == 3
+
+
 def test_decoding_by_join_gives_the_library_text(spark):
     path = public_tokenizers.path(bpe.VOCABULARY)
     tokenizer = Tokenizer.from_file(path)

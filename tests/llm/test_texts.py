@@ -93,6 +93,36 @@ def test_automaton_holds_exactly_the_substrings():
     assert language.phrases("ababzbca", moves) == 3 and language.phrases("", moves) == 0
 
 
+def test_only_letters_make_words(docs):
+    assert language.runs_of_letters("½ ² ① Ⅷ ab1c né e\u0301a _x 日本語 हिन्दी") == ["ab", "c", "né", "e\u0301a", "x", "日本語", "हिन्दी"]
+    found = language.predict(docs((1, "½ ²"), (2, "①Ⅷ 12"), (3, "è")), [("en", language.automaton([" the "]))]).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "und", 2: "und", 3: "en"}
+
+
+def test_language_of_long_texts_only_is_learned(docs):
+    fitted = language.model(docs(*[(n, "wort " * 3000) for n in range(5)]))
+    assert [name for name, _ in fitted] == ["en"] and fitted[0][1]
+
+
+def test_fewest_phrases_win_by_brute_force(docs):
+    random.seed(11)
+    known = {name: ["".join(random.choices("abc" if name == "x" else "bcd", k=random.randrange(1, 7))) for _ in range(6)] for name in "xy"}
+    texts = [" ".join("".join(random.choices("abcd", k=random.randrange(1, 9))) for _ in range(4)) for _ in range(40)]
+
+    def count(word, words):
+        inside, at, n = {f" {w} "[a:b] for w in words for a in range(len(w) + 2) for b in range(a + 1, len(w) + 3)}, 0, 0
+        while at < len(word):
+            size = max([1, *(s for s in range(1, len(word) - at + 1) if word[at:at + s] in inside)])
+            at, n = at + size, n + 1
+        return n
+
+    fitted = [(name, language.automaton([f" {w} " for w in sorted(set(words))])) for name, words in known.items()]
+    found = {r.doc_id: r for r in language.predict(docs(*enumerate(texts)), fitted).collect()}
+    for n, text in enumerate(texts):
+        x, y = (sum(count(f" {w} ", known[name]) for w in text.split()) for name in "xy")
+        assert found[n].lang_pred == ("x" if x <= y else "y") and found[n].score == pytest.approx(1 - min(x, y) / max(x, y))
+
+
 def test_language_on_odd_rows_and_held_out(docs, spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     fitted = language.model(table.where(~language.held_out()))
