@@ -23,11 +23,10 @@ are not read.
 
 import functools
 import hashlib
+import itertools
 import os
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
@@ -42,48 +41,73 @@ VOCABULARY = "word_bpe_49k.json"
 BLOCK_BYTES = 16_000_000
 #: Tasks whose blocks share a row of the distinct-word table.
 LOT = 1024
-WORDS_PER_BATCH = 4096
+WORDS_PER_BATCH = 8192
 BATCH_BYTES = "16m"
 
 
+def words(text: bytes) -> list[bytes]:
+    """What white space separates, in small letters unless a token that knows letter case may be inside."""
+    return (text if b"<|" in text else text.lower()).split()
+
+
 def split(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``block, lot, keys, docs, codes``: blocks of documents with their distinct words."""
     rows = docs.select(utf8(text).alias("text"), F.col(f"`{id}`").cast("bigint").alias("id"))
-    packed = blocks.pack(rows, "binary", lambda: bytes.split, "id bigint", most=BLOCK_BYTES)
+    packed = blocks.pack(rows, "binary", lambda: words, "id bigint", most=BLOCK_BYTES)
     lot = (F.shiftright("block", 32) / LOT).cast("int").alias("lot")
-    return packed.select(F.xxhash64("block", "mark", "keys").alias("block"), lot, "keys", "docs", "codes")
+    return packed.select(F.xxhash64("block", "mark").alias("block"), lot, "keys", "docs", "codes")
 
 
 def distinct_words(packed: DataFrame) -> DataFrame:
     """``word, lot, uses``: every distinct word of a lot with the blocks and places that hold it."""
-    words = packed.select("block", "lot", F.posexplode("keys").alias("place", "word"))
-    return words.groupBy("word", "lot").agg(F.collect_list(F.struct("block", "place")).alias("uses"))
+    every = packed.select("block", "lot", F.posexplode("keys").alias("place", "word"))
+    # a block has a word once, so lists made before the shuffle would only make it larger
+    return every.repartition("word").groupBy("word", "lot").agg(F.collect_list(F.struct("block", "place")).alias("uses"))
+
+
+def encode_words(table: DataFrame, path: str) -> DataFrame:
+    """``block, places, sizes, flat``: ids of the words at places of blocks; each row of ``table`` is encoded once.
 
+    Ids are numbers from ``base(path)`` on, which fit two bytes where the vocabulary does.
+    """
+    kind, least = ("smallint", -(1 << 15)) if base(path) else ("int", 0)
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """The table of distinct words with their ``ids``, each word encoded once."""
     def start():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        return Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)
+
+        def step(names, blocks_of, places_of):
+            encoded = tokenizer.encode_batch([w.decode() for w in names], add_special_tokens=False)
+            ids = [e.ids for e in encoded]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(sizes.sum())) + least
+            starts = np.cumsum(sizes) - sizes
+            word = np.repeat(np.arange(len(ids)), np.fromiter(map(len, blocks_of), np.int64, len(ids)))
+            block = np.fromiter(itertools.chain.from_iterable(blocks_of), np.int64, len(word))
+            place = np.fromiter(itertools.chain.from_iterable(places_of), np.int64, len(word))
+            order = np.argsort(block, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                size = sizes[word[own]]
+                at = np.repeat(starts[word[own]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                yield int(block[own[0]]), place[own].tolist(), size.tolist(), flat[at].tolist()
+
+        return step
+
+    columns = table.select("word", F.col("uses.block").alias("blocks"), F.col("uses.place").alias("places"))
+    return arrow_map(columns, f"block bigint, places array<int>, sizes array<int>, flat array<{kind}>", start, size=WORDS_PER_BATCH)
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = start()
-        for batch in batches:
-            texts, found = [w.decode() for w in batch], []
-            for at in range(0, len(texts), WORDS_PER_BATCH):
-                found += [e.ids for e in tokenizer.encode_batch(texts[at:at + WORDS_PER_BATCH], add_special_tokens=False)]
-            yield pd.Series(found, dtype=object)
 
-    return words.withColumn("ids", ids("word"))
+def base(path: str) -> int:
+    """What ids are moved down by, so that a vocabulary of at most 65536 fits two bytes."""
+    return 1 << 15 if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 0
 
 
 def returned(packed: DataFrame, encoded: DataFrame) -> DataFrame:
     """Blocks with ``places, sizes, flat``: the ids of the word at each place."""
-    one = encoded.select(F.explode("uses").alias("use"), "ids").select("use.block", "use.place", "ids")
-    found = one.groupBy("block").agg(F.collect_list(F.struct("place", "ids")).alias("found")).select(
-        "block", F.col("found.place").alias("places"), F.transform("found.ids", F.size).alias("sizes"), F.flatten("found.ids").alias("flat"))
-    return packed.select("block", "docs", "codes").join(found, "block", "left")
+    parts = ("places", "sizes", "flat")
+    found = encoded.groupBy("block").agg(F.collect_list(F.struct(*parts)).alias("found"))
+    return packed.select("block", "docs", "codes").join(
+        found.select("block", *[F.flatten(f"found.{c}").alias(c) for c in parts]), "block", "left")
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -127,14 +151,15 @@ def _joined(docs, id, text, path, schema, row) -> DataFrame:
     packed = split(docs, id, text)
     vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
     shared = docs.sparkSession.sparkContext.broadcast({n: piece.encode() for piece, n in vocabulary.items()})
+    least = base(path)
     whole = returned(packed, encode_words(distinct_words(packed), path))
-    result = arrow_map(whole.select("places", "sizes", "flat", "docs", "codes"), schema, lambda: _rows(shared.value, row), size=1, bunch=64)
+    result = arrow_map(whole.select("places", "sizes", "flat", "docs", "codes"), schema, lambda: _rows(shared.value, row, least), size=1, bunch=64)
     # a row holds a block, so bytes and not rows bound what crosses to Python together
     with session_settings(docs.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch=BATCH_BYTES):
         return store(result, "encoded")
 
 
-def _rows(piece_of, row):
+def _rows(piece_of, row, least):
     """Ids and pieces of each document out of those of its block's words.
 
     The id-to-piece table has a fixed number of rows, so every task joins its
@@ -143,6 +168,7 @@ def _rows(piece_of, row):
     def step(*columns):
         for places, sizes, flat, docs, codes in zip(*columns):
             at, count, flat = (np.array(c or (), np.int64) for c in (places, sizes, flat))
+            flat += least
             lengths, starts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             lengths[at], starts[at] = count, np.cumsum(count) - count
 
