@@ -38,7 +38,7 @@ from shoplake.workspace import session_settings
 
 VOCABULARY = "word_bpe_49k.json"
 #: Text in a block; few blocks are in a task's memory at a time.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 40_000_000
 #: Tasks whose blocks share a row of the distinct-word table.
 LOT = 1024
 WORDS_PER_BATCH = 8192
