@@ -152,6 +152,56 @@ def session_summary(events: DataFrame) -> DataFrame:
     )
 
 
+def visits(events: DataFrame, gap: str) -> DataFrame:
+    """Sessions cut where no event follows within ``gap``, its end included; batch or, with a watermark, stream."""
+    window = F.session_window("event_time", gap).alias("visit")
+    found = events.groupBy(window, "user_session", "user_id").agg(
+        F.min("event_time").alias("session_start_time"),
+        F.max("event_time").alias("session_end_time"),
+        F.max(F.when(is_type("purchase"), 1).otherwise(0)).alias("has_purchase"),
+        F.count(F.lit(1)).alias("total_events"),
+    )
+    return _with_duration(found.drop("visit"))
+
+
+# --- sets of users ---------------------------------------------------------
+
+def user_set_states(events: DataFrame) -> DataFrame:
+    """One row per day with theta sketches of its users, viewers and buyers, which can be intersected."""
+    def users(only: Column | None = None) -> Column:
+        return F.theta_sketch_agg(F.col("user_id") if only is None else F.when(only, F.col("user_id")))
+
+    return events.groupBy(F.to_date("event_time").alias("event_date")).agg(
+        users().alias("users"), users(is_type("view")).alias("viewers"), users(is_type("purchase")).alias("buyers"))
+
+
+def merge_user_sets(states: DataFrame) -> DataFrame:
+    """Merges states of several batches to one row per day."""
+    return states.groupBy("event_date").agg(*[F.theta_union_agg(c).alias(c) for c in ("users", "viewers", "buyers")])
+
+
+def returning_users(states: DataFrame) -> DataFrame:
+    """Per day: estimated users who also came the day before, and viewers who bought nothing that day.
+
+    ``states`` has one row per day. The day before is joined, so days without events break no chain.
+    """
+    before = states.select(F.date_add("event_date", 1).alias("event_date"), F.col("users").alias("users_before"))
+    return states.join(before, "event_date", "left").select(
+        "event_date", F.theta_sketch_estimate("users").alias("users"),
+        F.coalesce(F.theta_sketch_estimate(F.theta_intersection("users", "users_before")), F.lit(0)).alias("returning_users"),
+        F.theta_sketch_estimate(F.theta_difference("viewers", "buyers")).alias("viewers_only"))
+
+
+def returning_users_exact(events: DataFrame) -> DataFrame:
+    """The same numbers from the events: folded to user days, each joined with its day before."""
+    days = events.groupBy(F.to_date("event_time").alias("event_date"), "user_id").agg(
+        F.max(is_type("view")).alias("viewed"), F.max(is_type("purchase")).alias("bought"))
+    before = days.select(F.date_add("event_date", 1).alias("event_date"), "user_id", F.lit(1).alias("came"))
+    return days.join(before, ["event_date", "user_id"], "left").groupBy("event_date").agg(
+        F.count("user_id").alias("users"), F.count("came").alias("returning_users"),
+        F.count_if(F.col("viewed") & ~F.col("bought")).alias("viewers_only"))
+
+
 # --- merging partial states ------------------------------------------------
 
 ROLLUPS = {

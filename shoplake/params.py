@@ -15,6 +15,8 @@ UNKNOWN = "unknown"
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 TIMEZONE = "UTC"
 WATERMARK = "5 minutes"
+# Silence that ends a visit of a session.
+SESSION_GAP = "30 minutes"
 MAX_OFFSETS_PER_TRIGGER = 100_000
 
 # Interaction scores: weight per event type, decayed per day.

@@ -73,7 +73,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     files, location = _location(spark, path)
     files.delete(location, True)
 
@@ -88,7 +88,7 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
     """Removes whole partition folders; those the table lacks are ignored."""
     folder = F.regexp_extract("path", f"^(.*/{column}=[^/]*)/", 1)
     for row in table_files(spark, path).where(in_partitions(column, values)).select(folder).distinct().collect():
-        _remove(spark, row[0])
+        remove(spark, row[0])
 
 
 def partition_values(rows: DataFrame, column: str) -> list:
@@ -133,7 +133,7 @@ def upsert_table(
             )
         return values
     finally:
-        _remove(spark, staged)
+        remove(spark, staged)
 
 
 def _merge_into(
@@ -152,21 +152,25 @@ def _merge_into(
 
     By default the key determines the partition, so matches lie in the source's
     own partitions and only those are read. With ``moves_partition`` a match may
-    lie anywhere: the table's keys are searched first, and the partitions that
-    rows leave are rewritten too.
+    lie anywhere: the index of the keys' locations tells where, and the partitions
+    that rows leave are rewritten too.
     """
+    from shoplake.sinks import locations
+
     if not table_exists(spark, path):
         fresh = source.alias("source")
         if insert_condition is not None:
             fresh = fresh.where(F.expr(insert_condition))
+        locations.drop(spark, path)
         write_table(fresh, path, "overwrite", [partition_column])
         return source_values
 
     target = spark.read.parquet(path)
     values = set(source_values)
     if moves_partition:
-        matched = target.join(source.select(*keys), list(keys), "left_semi")
-        values |= set(partition_values(matched, partition_column))
+        values |= set(locations.add(spark, path, source, keys, partition_column))
+    else:
+        locations.drop(spark, path)
     merged = merge_rows(
         target.where(in_partitions(partition_column, sorted(values, key=str))),
         source, tuple(keys), update_condition, insert_condition, delete_condition,
@@ -180,4 +184,6 @@ def _merge_into(
     overwrite_partitions(merged, path, [partition_column])
     if emptied:
         drop_partitions(spark, path, partition_column, emptied)
+    if moves_partition:
+        locations.settle(spark, path, source, keys, partition_column, sorted(values, key=str))
     return sorted(values, key=str)

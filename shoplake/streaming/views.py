@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplake import params
 from shoplake.operators.parsing import parse_events
-from shoplake.operators.rollups import ROLLUPS, merge_states, realtime_dashboard_states
+from shoplake.operators.rollups import ROLLUPS, merge_states, realtime_dashboard_states, visits
 from shoplake.operators.validation import valid
 from shoplake.sinks.tables import append_batch
 from shoplake.streaming.dedup import deduplicated
@@ -68,3 +68,16 @@ def closed_windows(
     """Writes each 15-minute window once, when the watermark has passed its end."""
     states = realtime_dashboard_states(served(messages, watermark))
     return start_parquet(states, checkpoint, path, once, state_partitions)
+
+
+def closed_sessions(
+    messages: DataFrame,
+    checkpoint: str,
+    path: str,
+    gap: str = params.SESSION_GAP,
+    watermark: str = params.WATERMARK,
+    once: bool = True,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Writes each visit once, when the watermark has passed the gap after its last event."""
+    return start_parquet(visits(served(messages, watermark), gap), checkpoint, path, once, state_partitions)
