@@ -311,4 +311,5 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
     assert set(kept[2]) - set(kept[3]) == {r.doc_id for r in contaminated.where("contaminated").collect()}
     groups = jaccard.join(spark.read.parquet(f"{folder}/line_dedup")).where("doc_id = component_id").select("doc_id")
     assert set(kept[2]) == {r.doc_id for r in groups.collect()} and set(kept[4]) == set(kept[3])
-    assert docs.agg(F.count("*")).first()[0] == len(kept[4])
+    # both texts of the id that comes twice stay, as they do not resemble each other
+    assert docs.where("doc_id = 900004").count() == 2 and docs.count() == len(kept[4]) + 1
