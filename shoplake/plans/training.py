@@ -11,7 +11,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from shoplake import params
-from shoplake.operators import class_metrics, features, interactions, popularity
+from shoplake.operators import class_metrics, factors, features, interactions, popularity
 from shoplake.operators import ranking, recommendations
 from shoplake.sinks.models import save_metadata, save_model
 from shoplake.sinks.tables import write_table
@@ -62,16 +62,11 @@ def fit_recommender(
 ) -> ALSModel:
     """Implicit-feedback ALS; long runs cut their lineage at the checkpoint folder.
 
-    Users or products whose ratings are all 0 have unique factors only if at least
-    ``rank`` products and users have others; without them Spark's fit fails. There, and
-    only there, the rank is the number of those rated, which bounds the independent
-    factors anyway; the model tells its rank.
+    Only ratings above 0 count: a rating of 0 tells an implicit fit nothing, and users or
+    products with no other have no unique factors. Users left out get popular products
+    (``recommendations.with_fallback``).
     """
     use_checkpoints(training.sparkSession)
-    best = [training.groupBy(key).agg(F.max("rating").alias("best")) for key in ("userId", "productId")]
-    sizes = [b.agg(F.count("*").alias("n"), F.count_if(F.col("best") > 0).alias("rated")).first() for b in best]
-    if any(n > rated for n, rated in sizes):
-        rank = max(1, min(rank, *(rated for _, rated in sizes)))
     if blocks is None:
         blocks = training.sparkSession.sparkContext.defaultParallelism * params.ALS_BLOCK_FACTOR
     return ALS(
@@ -79,7 +74,25 @@ def fit_recommender(
         rank=rank, maxIter=iterations, regParam=regularization, alpha=alpha,
         numUserBlocks=blocks, numItemBlocks=blocks,
         implicitPrefs=True, coldStartStrategy="drop", seed=params.SEED,
-    ).fit(training)
+    ).fit(training.where("rating > 0"))
+
+
+def save_factors(model: ALSModel, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The model's user and product factors as tables (id, features) below ``folder``."""
+    spark = model.userFactors.sparkSession
+    for name, rows in (("user_factors", model.userFactors), ("product_factors", model.itemFactors)):
+        write_table(rows, f"{folder}/{name}", "overwrite")
+    return spark.read.parquet(f"{folder}/user_factors"), spark.read.parquet(f"{folder}/product_factors")
+
+
+def recommend_exactly(users: DataFrame, products: DataFrame, indexed: Ratings, k: int = params.TOP_K) -> DataFrame:
+    """Top k products of every user from stored factors, with original ids and settled ties."""
+    found = factors.top_k(users, products, k)
+    return (
+        found.join(indexed.users, F.col("user") == F.col("user_idx"))
+        .join(indexed.products, F.col("product") == F.col("product_idx"))
+        .select("user_id", "product_id", "score", "rank")
+    )
 
 
 def recommend(model: ALSModel, indexed: Ratings, k: int = params.TOP_K) -> DataFrame:

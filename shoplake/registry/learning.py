@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shoplake import params
 from shoplake.functions.expressions import stable_hash
-from shoplake.operators import class_metrics, features, interactions, popularity
+from shoplake.operators import class_metrics, factors, features, interactions, popularity
 from shoplake.operators import ranking, recommendations
 from shoplake.plans import training
 from shoplake.registry.base import EVENT_SQL, query, valid_events, valid_orders
@@ -281,8 +281,8 @@ def als_recs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("als_recs_shape", f"""
-SELECT user_id, least({TOP_K}, (SELECT count(DISTINCT product_id) FROM good)) AS recommended, 1 AS first_rank,
-  true AS best_first FROM good GROUP BY user_id""")
+SELECT user_id, least({TOP_K}, (SELECT count(DISTINCT product_id) FROM ({SCORES_SQL}) WHERE log_score > 0)) AS recommended,
+  1 AS first_rank, true AS best_first FROM ({SCORES_SQL}) WHERE log_score > 0 GROUP BY user_id""")
 def als_recs_shape(spark: SparkSession, folder: str) -> DataFrame:
     """What must hold for the recommender's lists whatever the factors are."""
     ranked = Window.partitionBy("user_id").orderBy("rank")
@@ -301,8 +301,44 @@ def als_recs_orders(spark: SparkSession, folder: str) -> DataFrame:
     return training.recommend(model, indexed)
 
 
-@query("model_roundtrip", """
-SELECT 'als' AS model, count(DISTINCT user_id) AS size FROM good
+@query("als_top_k_exact", f"""
+SELECT count(DISTINCT user_id) AS users, true AS agree FROM ({SCORES_SQL}) WHERE log_score > 0""")
+def als_top_k_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the exact lists from the stored factors have the scores of the model's own lists at every rank."""
+    path = new_folder(spark, "als_top_k_exact")
+    indexed = training.ratings(valid_events(spark, folder), path)
+    model = training.fit_recommender(indexed.rows)
+    exact = training.recommend_exactly(*training.save_factors(model, path), indexed)
+    own = training.recommend(model, indexed).select("user_id", "rank", F.col("score").alias("own"))
+    near = F.abs(F.col("score") - F.col("own")) <= 1e-4
+    return exact.join(own, ["user_id", "rank"], "full").agg(
+        F.count_distinct("user_id").alias("users"), F.every(F.coalesce(near, F.lit(False))).alias("agree"))
+
+
+PROFILE_TYPES = ("view", "cart", "purchase", "remove_from_cart")
+
+
+def _profiles_sql(key: str) -> str:
+    counts = ", ".join(f"ln(1 + count(*) FILTER (event_type = '{t}')) AS w{n}" for n, t in enumerate(PROFILE_TYPES))
+    return f"SELECT {key} AS id, {counts} FROM good GROUP BY {key}"
+
+
+@query("factors_top_k", f"""
+SELECT u.id AS user_id, p.id AS product_id, round(u.w0 * p.w0 + u.w1 * p.w1 + u.w2 * p.w2 + u.w3 * p.w3, 6) + 0 AS score,
+  row_number() OVER (PARTITION BY u.id ORDER BY round(u.w0 * p.w0 + u.w1 * p.w1 + u.w2 * p.w2 + u.w3 * p.w3, 6) DESC, p.id) AS rank
+FROM ({_profiles_sql('user_id')}) u, ({_profiles_sql('product_id')}) p QUALIFY rank <= {TOP_K}""")
+def factors_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The search over factors that SQL can see: log counts of each event type, of users and of products."""
+    events, path = valid_events(spark, folder), new_folder(spark, "profiles")
+    weights = [F.log1p(F.count_if(F.col("event_type") == t)) for t in PROFILE_TYPES]
+    for key in ("user_id", "product_id"):
+        write_table(events.groupBy(F.col(key).alias("id")).agg(F.array(*weights).alias("features")), f"{path}/{key}")
+    found = factors.top_k(*[spark.read.parquet(f"{path}/{key}") for key in ("user_id", "product_id")], TOP_K)
+    return found.withColumnsRenamed({"user": "user_id", "product": "product_id"})
+
+
+@query("model_roundtrip", f"""
+SELECT 'als' AS model, count(DISTINCT user_id) AS size FROM ({SCORES_SQL}) WHERE log_score > 0
 UNION ALL SELECT 'indexer', count(DISTINCT brand) FROM good
 UNION ALL SELECT 'pipeline', count(*) FROM good""")
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:

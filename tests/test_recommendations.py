@@ -1,11 +1,13 @@
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import Window, functions as F
 
-from shoplake.operators import interactions, popularity, ranking, recommendations
+from shoplake import params
+from shoplake.operators import factors, interactions, popularity, ranking, recommendations
 from shoplake.plans import training
 from shoplake.registry.base import valid_events
 from shoplake.sinks.models import load_metadata, load_model
@@ -123,20 +125,42 @@ def test_recommender_job(spark, sf_dir, tmp_path):
     assert load_metadata(spark, str(tmp_path / "metadata")).count() == len(values)
 
 
-def test_registered_recommenders_have_the_documented_size(spark, sf_dir, monkeypatch):
-    from pyspark.ml.recommendation import ALS
-
-    from shoplake import params
-    from shoplake.registry import QUERIES
-
-    class Reached(Exception):
-        pass
-
-    def fit(self, dataset, *_):
-        raise Reached(self.getRank(), self.getMaxIter())
-
-    monkeypatch.setattr(ALS, "fit", fit)
-    for name in ("als_recs", "als_recs_shape", "als_recs_orders", "model_roundtrip", "train_recommender"):
-        with pytest.raises(Reached) as found:
-            QUERIES[name](spark, "/root/testdata/sf0.1")
-        assert found.value.args == (params.ALS_RANK, params.ALS_ITERATIONS) == (150, 15), name
+def test_fits_keep_the_documented_rank(spark, tmp_path):
+    """A product rated 0 throughout and fewer users than factors do not change the rank."""
+    rows = [(u, p, float((u * p) % 3)) for u in range(6) for p in range(5)] + [(6, 5, 0.0)]
+    model = training.fit_recommender(spark.createDataFrame(rows, "userId int, productId int, rating float"), iterations=2, blocks=1)
+    assert (model.rank, model.userFactors.count(), model.itemFactors.count()) == (params.ALS_RANK, 4, 3)
+    assert model.userFactors.where(f"size(features) <> {params.ALS_RANK}").count() == 0
+    users, products = training.save_factors(model, str(tmp_path))
+    found = {(r.user, r.rank): r.score for r in factors.top_k(users, products, 3).collect()}
+    own = {(r.userId, n + 1): x.rating for r in model.recommendForAllUsers(3).collect() for n, x in enumerate(r.recommendations)}
+    assert found.keys() == own.keys() and all(abs(found[key] - own[key]) < 1e-4 for key in own)
+
+
+def brute_top_k(users, products, k):
+    lists = {}
+    for user, u in users:
+        scored = sorted((-round(sum(a * b for a, b in zip(u, p)), 6) + 0.0, product) for product, p in products)
+        lists[user] = [(product, -score + 0.0) for score, product in scored[:k]]
+    return lists
+
+
+def test_exact_top_k_agrees_with_brute_force(spark, monkeypatch):
+    """Ties, zero and negative vectors, missing rows, several cells a band, short lists, clashing extra columns."""
+    draw = random.Random(5)
+    vector = lambda spread: [draw.randint(-3, 3) * spread for _ in range(3)]
+    products = [(n, vector(draw.choice((0.0, 0.25, 1.0, 8.0)))) for n in range(150)]
+    users = [(n, vector(1.0)) for n in range(40)] + [(40, [0.0] * 3)]
+    schema = "id long, features array<double>, place int"
+    frames = [spark.createDataFrame([(i, v, 1) for i, v in rows] + [(None, [1.0] * 3, 1), (999, None, 1)], schema) for rows in (users, products)]
+    monkeypatch.setattr(factors, "HEAD", 12)
+    monkeypatch.setattr(factors, "PRODUCTS_PER_CELL", 9)
+    monkeypatch.setattr(factors, "USERS_PER_CELL", 7)
+    lists = {}
+    for r in factors.top_k(*frames, 4).orderBy("user", "rank").collect():
+        lists.setdefault(r.user, []).append((r.product, r.score))
+    assert lists == brute_top_k(users, products, 4)
+    few = frames[1].where("id < 2")
+    assert factors.top_k(frames[0], few, 4).count() == 2 * len(users)
+    assert factors.top_k(frames[0], few.limit(0), 4).count() == 0
+    assert factors.top_k(frames[0].limit(0), few, 4).count() == 0
