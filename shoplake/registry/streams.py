@@ -21,7 +21,7 @@ from shoplake.sources.adapter import click_events
 from shoplake.sources.kafka import file_stream
 from shoplake.sources.messages import change_messages, event_messages
 from shoplake.sources.tables import scan
-from shoplake.streaming import ingest, routing, views
+from shoplake.streaming import ingest, replay, routing, views
 from shoplake.streaming.dedup import deduplicated
 from shoplake.streaming.jobs import start_batches, start_parquet
 from shoplake.workspace import new_folder
@@ -226,6 +226,28 @@ def dlq_write_failure(spark: SparkSession, folder: str) -> DataFrame:
     return _letters(spark, _routed(spark, folder, fail=True)[1], routing.SERVING_FAILED)
 
 
+@query("dlq_replay", f"""
+SELECT -event_id - 1 AS "offset", md5('{{"event_id": ' || event_id) AS broken_value, {sql_time('event_time')} AS sent FROM click
+UNION ALL SELECT event_id, NULL, {sql_time('event_time')} FROM ({FLAGGED_SQL}) WHERE NOT is_valid_record""")
+def dlq_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event also comes as an unreadable message; the messages of all dead letters, sent again in two runs."""
+    dead, sent, checkpoint = (new_folder(spark, name) for name in ("dead_letters", "replayed", "replay_checkpoint"))
+    whole = event_messages(click_events(spark, folder))
+    text = F.concat(F.lit('{"event_id": '), F.col("offset").cast("string"))
+    broken = whole.withColumns({"value": text.cast("binary"), "offset": -F.col("offset") - 1})
+
+    def start(stream: DataFrame, stream_checkpoint: str):
+        routing.route(
+            stream, stream_checkpoint, routing.serve_files(new_folder(spark, "serving")), routing.dead_letter_files(dead),
+            state_partitions=state_partitions(spark),
+        ).awaitTermination()
+        return replay.replay(spark, dead, checkpoint, replay.send_files(sent))
+
+    run(spark, deliveries(whole.unionByName(broken)), start)
+    return scan(spark, sent).select(
+        "offset", F.when(F.col("offset") < 0, F.md5("value")).alias("broken_value"), F.col("timestamp").alias("sent"))
+
+
 # --- rollups kept by the stream --------------------------------------------
 
 def _maintained(spark: SparkSession, folder: str, rollup: str) -> DataFrame:

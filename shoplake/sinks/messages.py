@@ -2,9 +2,34 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+# A message's columns beside the event parsed from it; the time is in microseconds.
+MESSAGE = {
+    "message_key": "binary", "message_value": "binary", "message_topic": "string",
+    "message_partition": "int", "message_offset": "bigint", "message_micros": "bigint",
+}
+
+
+def with_message(messages: DataFrame) -> DataFrame:
+    """Adds the columns of ``MESSAGE``: key, value and place of each message as they came."""
+    micros = {"message_micros": F.unix_micros("timestamp")}
+    return messages.withColumns({c: micros.get(c, F.col(c.removeprefix("message_"))) for c in MESSAGE})
+
+
+def letter_messages(letters: DataFrame) -> DataFrame:
+    """The messages in dead letters, byte for byte; letters that hold none are left out."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in MESSAGE.items())
+    rows = letters.select(F.from_json("value", schema).alias("m")).where(F.col("m.message_offset").isNotNull())
+    return rows.select(
+        *[F.col(f"m.{c}").alias(c.removeprefix("message_")) for c in MESSAGE if c != "message_micros"],
+        F.timestamp_micros("m.message_micros").alias("timestamp"),
+    )
+
 
 def dead_letters(rows: DataFrame, batch_id: int, reason: str, at=None) -> DataFrame:
-    """One JSON ``value`` per row, including batch id, reason and time of the rejection."""
+    """One JSON ``value`` per row, including batch id, reason and time of the rejection.
+
+    Binary columns, as those of ``with_message``, become base64 text.
+    """
     when = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
     tagged = rows.withColumns({
         "dlq_batch_id": F.lit(batch_id).cast("bigint"),

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplake import params
 from shoplake.operators.parsing import parse_events
 from shoplake.operators.validation import invalid, valid
-from shoplake.sinks.messages import dead_letters, write_jdbc, write_kafka
+from shoplake.sinks.messages import MESSAGE, dead_letters, with_message, write_jdbc, write_kafka
 from shoplake.sinks.tables import append_batch
 from shoplake.streaming.dedup import deduplicated, untimed
 from shoplake.streaming.jobs import start_batches
@@ -45,8 +45,11 @@ def dead_letter_files(path: str) -> ServeDead:
 
 
 def incoming(messages: DataFrame, watermark: str = params.WATERMARK, **options) -> DataFrame:
-    """Parsed stream, deduplicated where it has an event time; the rest goes on to be rejected."""
-    parsed = parse_events(messages, keep=POSITION)
+    """Parsed stream, deduplicated where it has an event time; the rest goes on to be rejected.
+
+    Each row carries the message it was read from, for the dead letters.
+    """
+    parsed = parse_events(with_message(messages), keep=(*POSITION, *MESSAGE))
     return deduplicated(parsed, watermark=watermark, **options).unionByName(untimed(parsed))
 
 
@@ -59,7 +62,7 @@ def short_reason(error: Exception) -> str:
 def route_batch(
     batch: DataFrame, batch_id: int, serve: ServeValid, reject: ServeDead, attempts: int = ATTEMPTS
 ) -> None:
-    """Rejected rows to the dead letters, valid ones to serving.
+    """Rejected rows to the dead letters, valid ones to serving, without their messages.
 
     If serving fails ``attempts`` times, its rows become dead letters as well, with
     the error's first line as reason. Both outputs read one persisted frame, so the state is updated once.
@@ -72,7 +75,7 @@ def route_batch(
         good = valid(events)
         for attempt in range(1, attempts + 1):
             try:
-                serve(good, batch_id)
+                serve(good.drop(*MESSAGE), batch_id)
                 break
             except Exception as error:
                 if attempt == attempts:

@@ -7,7 +7,7 @@ from shoplake.operators import rollups
 from shoplake.operators.parsing import parse_events
 from shoplake.operators.validation import valid
 from shoplake.sources.kafka import file_stream
-from shoplake.streaming import ingest, routing, views
+from shoplake.streaming import ingest, replay, routing, views
 from shoplake.streaming.dedup import deduplicated
 from shoplake.streaming.jobs import start_parquet
 
@@ -113,6 +113,39 @@ def test_failed_serving_write_goes_to_dead_letters(spark, messages, tmp_path):
     assert reasons == {"validation_failed": "validation_failed", "serving_write_failed": "serving_write_failed: disk full"}
 
 
+def test_unreadable_messages_come_back_byte_for_byte(spark, messages, tmp_path):
+    topic, good, bad = Topic(spark, messages, tmp_path / "in"), str(tmp_path / "good"), str(tmp_path / "bad")
+    again, mended = str(tmp_path / "again"), str(tmp_path / "mended")
+
+    def go():
+        run(routing.route(topic.stream(), str(tmp_path / "checkpoint"), routing.serve_files(good),
+                          routing.dead_letter_files(bad), state_partitions=2))
+
+    def resend(path, **options):
+        return run(replay.replay(spark, bad, f"{path}-checkpoint", replay.send_files(path), **options))
+
+    cut = event(3, brand="é☃")[:-1]
+    topic.send(cut, "junk\x00", "", None, event(1))
+    go()
+    resend(again)
+    resend(again)
+    rows = sorted(spark.read.parquet(again).collect(), key=lambda r: r.offset)
+    assert [(r.offset, None if r.value is None else bytes(r.value).decode()) for r in rows] == [(0, cut), (1, "junk\x00"), (2, ""), (3, None)]
+    assert {(r.key, r.topic, r.partition, r.timestamp) for r in rows} == {(None, "t", 0, START)}
+    topic.send(event(20, price="0"))
+    go()
+    resend(again)
+    assert spark.read.parquet(again).count() == 5
+
+    close = F.concat(F.col("value").cast("string"), F.lit("}")).cast("binary")
+    resend(mended, mend=lambda rows: rows.withColumn("value", close))
+    run(routing.route(file_stream(spark, mended), str(tmp_path / "second"), routing.serve_files(f"{good}2"),
+                      routing.dead_letter_files(f"{bad}2"), state_partitions=2))
+    served = spark.read.parquet(f"{good}2").collect()
+    assert [(r.brand, r.event_time.minute) for r in served] == [("é☃", 3)]
+    assert not [c for c in spark.read.parquet(good).columns if c.startswith("message_")]
+
+
 def test_raw_ingest_reads_each_message_once(spark, messages, tmp_path):
     topic, raw = Topic(spark, messages, tmp_path / "in"), str(tmp_path / "raw")
     for batch in (['{"payload": {"id": 1}}', "junk"], ['{"payload": {"id": 2}}'], []):
