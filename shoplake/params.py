@@ -12,7 +12,8 @@ EVENT_TYPES = ("view", "cart", "purchase", "remove_from_cart")
 UNKNOWN = "unknown"
 
 # Parsing and streaming.
-TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
+# Seconds may have a fraction; written times always do.
+TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 TIMEZONE = "UTC"
 WATERMARK = "5 minutes"
 # Silence that ends a visit of a session.

@@ -40,7 +40,7 @@ FLAGS_SQL = (
 # --- messages and parsing --------------------------------------------------
 
 @query("parse_events_json", """
-SELECT strftime(date_trunc('second', event_time), '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
   event_type, product_id, category_id, category_code, brand, CAST(price AS DOUBLE) AS price,
   user_id, user_session FROM click""")
 def parse_events_json(spark: SparkSession, folder: str) -> DataFrame:

@@ -45,8 +45,7 @@ def _csv_folder(spark: SparkSession, folder: str) -> str:
 
 
 @query("csv_load", f"""
-SELECT * REPLACE (strftime(date_trunc('second', CAST(event_time AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S.%f') AS event_time)
-FROM (SELECT {sql_date('event_time')} AS event_date, {EVENT_SQL} FROM click)""")
+SELECT {sql_date('event_time')} AS event_date, {EVENT_SQL} FROM click""")
 def csv_load(spark: SparkSession, folder: str) -> DataFrame:
     events = table_sources.csv_events(spark, _csv_folder(spark, folder))
     path = new_folder(spark, "csv_load")
@@ -56,7 +55,7 @@ def csv_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("csv_to_messages", """
-SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S UTC') AS event_time, event_type,
+SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S.%f UTC') AS event_time, event_type,
   CAST(product_id AS VARCHAR) AS product_id, coalesce(brand, '') AS brand, CAST(price AS VARCHAR) AS price,
   'ecommerce_streaming_events' AS topic FROM click""")
 def csv_to_messages(spark: SparkSession, folder: str) -> DataFrame:

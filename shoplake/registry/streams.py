@@ -29,15 +29,6 @@ from shoplake.workspace import new_folder
 DELIVERIES = 2
 INGESTED = "2024-02-01 00:00:00"
 
-# Message times have whole seconds.
-SECOND_SQL = "strftime(date_trunc('second', event_time), '%Y-%m-%d %H:%M:%S.%f')"
-
-
-def in_seconds(sql: str) -> str:
-    """The SQL over events whose times are cut to seconds, as messages carry them."""
-    cut = "(SELECT * REPLACE (date_trunc('second', event_time) AS event_time) FROM good)"
-    return sql.replace("FROM good", f"FROM {cut}")
-
 
 def deliveries(messages: DataFrame, count: int = DELIVERIES, again: bool = False) -> list[DataFrame]:
     """The messages in consecutive time ranges.
@@ -103,7 +94,7 @@ def medallion_daily(spark: SparkSession, folder: str) -> DataFrame:
 # --- event stream ----------------------------------------------------------
 
 @query("stream_ingest", f"""
-SELECT event_id AS "offset", {SECOND_SQL} AS event_time, event_type, product_id, category_id,
+SELECT event_id AS "offset", {sql_time('event_time')} AS event_time, event_type, product_id, category_id,
   category_code, brand, CAST(price AS DOUBLE) AS price, user_id, user_session FROM click""")
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "stream_ingest")
@@ -116,7 +107,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("stream_dedup", f"""
-SELECT DISTINCT {SECOND_SQL} AS event_time, user_id, product_id, event_type FROM click""")
+SELECT DISTINCT {sql_time('event_time')} AS event_time, user_id, product_id, event_type FROM click""")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "stream_dedup")
 
@@ -147,7 +138,7 @@ def _routed(spark: SparkSession, folder: str, fail: bool = False) -> tuple[str,
 
 
 VALID_STREAM_SQL = f"""
-SELECT DISTINCT {SECOND_SQL} AS event_time, user_id, product_id, event_type, category_code, brand FROM good"""
+SELECT DISTINCT {sql_time('event_time')} AS event_time, user_id, product_id, event_type, category_code, brand FROM good"""
 
 
 def _valid_columns(rows: DataFrame) -> DataFrame:
@@ -196,7 +187,7 @@ def _letters(spark: SparkSession, path: str, kind: str) -> DataFrame:
 INVALID_STREAM_SQL = f"""
 SELECT event_type, user_id, product_id, invalid_reasons, 'validation_failed' AS dlq_reason,
   true AS same_batch, true AS stamped FROM (
-  SELECT DISTINCT {SECOND_SQL} AS event_time, event_type, user_id, product_id, invalid_reasons
+  SELECT DISTINCT {sql_time('event_time')} AS event_time, event_type, user_id, product_id, invalid_reasons
   FROM ({FLAGGED_SQL}) WHERE NOT is_valid_record)"""
 
 
@@ -221,7 +212,7 @@ def dlq_invalid(spark: SparkSession, folder: str) -> DataFrame:
 @query("dlq_write_failure", f"""
 SELECT event_type, user_id, product_id, CAST(NULL AS VARCHAR) AS invalid_reasons,
   'serving_write_failed: serving table unavailable' AS dlq_reason, true AS same_batch, true AS stamped FROM (
-  SELECT DISTINCT {SECOND_SQL} AS event_time, event_type, user_id, product_id FROM good)""")
+  SELECT DISTINCT {sql_time('event_time')} AS event_time, event_type, user_id, product_id FROM good)""")
 def dlq_write_failure(spark: SparkSession, folder: str) -> DataFrame:
     return _letters(spark, _routed(spark, folder, fail=True)[1], routing.SERVING_FAILED)
 
@@ -262,7 +253,7 @@ def _maintained(spark: SparkSession, folder: str, rollup: str) -> DataFrame:
     return views.current(spark, path, rollup)
 
 
-@query("stream_mv_daily", in_seconds(f"SELECT {KPI_SUMS} FROM ({KPI_SQL})"))
+@query("stream_mv_daily", f"SELECT {KPI_SUMS} FROM ({KPI_SQL})")
 def stream_mv_daily(spark: SparkSession, folder: str) -> DataFrame:
     return _maintained(spark, folder, "daily").drop("daily_unique_users", "unique_users_buy")
 
@@ -272,29 +263,29 @@ def stream_mv_daily_hll(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.estimate_sketches(_maintained(spark, folder, "daily"))
 
 
-@query("stream_mv_product", in_seconds(f"SELECT {PERFORMANCE_COLUMNS} FROM ({PERFORMANCE_SQL})"))
+@query("stream_mv_product", f"SELECT {PERFORMANCE_COLUMNS} FROM ({PERFORMANCE_SQL})")
 def stream_mv_product(spark: SparkSession, folder: str) -> DataFrame:
     return _maintained(spark, folder, "product")
 
 
-@query("stream_mv_15min", in_seconds(f"SELECT {DASHBOARD_SUMS} FROM ({DASHBOARD_SQL})"))
+@query("stream_mv_15min", f"SELECT {DASHBOARD_SUMS} FROM ({DASHBOARD_SQL})")
 def stream_mv_15min(spark: SparkSession, folder: str) -> DataFrame:
     return _maintained(spark, folder, "dashboard").drop("active_users", "active_sessions")
 
 
-@query("stream_mv_bucket", in_seconds(f"SELECT {BUCKET_COLUMNS} FROM ({BUCKET_SQL})"))
+@query("stream_mv_bucket", f"SELECT {BUCKET_COLUMNS} FROM ({BUCKET_SQL})")
 def stream_mv_bucket(spark: SparkSession, folder: str) -> DataFrame:
     return _maintained(spark, folder, "bucket")
 
 
-@query("stream_mv_session", in_seconds(f"SELECT {SESSION_COLUMNS} FROM ({SESSION_SQL})"))
+@query("stream_mv_session", f"SELECT {SESSION_COLUMNS} FROM ({SESSION_SQL})")
 def stream_mv_session(spark: SparkSession, folder: str) -> DataFrame:
     return _maintained(spark, folder, "session")
 
 
-@query("stream_window_15min", in_seconds(f"""
+@query("stream_window_15min", f"""
 SELECT {DASHBOARD_SUMS} FROM ({DASHBOARD_SQL}) WHERE metric_time + INTERVAL 15 MINUTE <=
-  (SELECT max(event_time) FROM good) - INTERVAL 5 MINUTE"""))
+  (SELECT max(event_time) FROM good) - INTERVAL 5 MINUTE""")
 def stream_window_15min(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "stream_window_15min")
 

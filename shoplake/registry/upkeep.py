@@ -100,7 +100,7 @@ def stream_dedup_untimed_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("stream_sessions_closed", """,
-seen AS (SELECT DISTINCT date_trunc('second', event_time) AS event_time, user_id, product_id, event_type, user_session FROM good),
+seen AS (SELECT DISTINCT event_time, user_id, product_id, event_type, user_session FROM good),
 cut AS (SELECT *, CASE WHEN event_time - lag(event_time) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS first
   FROM seen WINDOW w AS (PARTITION BY user_session, user_id ORDER BY event_time)),
 visit AS (SELECT *, sum(first) OVER (PARTITION BY user_session, user_id ORDER BY event_time) AS n FROM cut)
@@ -108,9 +108,9 @@ SELECT user_session, user_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S.%f')
   strftime(max(event_time), '%Y-%m-%d %H:%M:%S.%f') AS session_end_time,
   CAST(max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS has_purchase, count(*) AS total_events,
   strftime(min(event_time), '%Y-%m-%d') AS event_date,
-  CAST(epoch(max(event_time)) - epoch(min(event_time)) AS BIGINT) AS session_duration_sec
+  date_diff('second', min(event_time), max(event_time)) AS session_duration_sec
 FROM visit GROUP BY user_session, user_id, n HAVING max(event_time) + INTERVAL 30 MINUTE <=
-  (SELECT max(date_trunc('second', event_time)) FROM click) - INTERVAL 5 MINUTE""")
+  (SELECT max(date_trunc('millisecond', event_time)) FROM click) - INTERVAL 5 MINUTE""")
 def stream_sessions_closed(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "sessions")
 

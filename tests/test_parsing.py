@@ -82,3 +82,9 @@ def test_raw_and_working_rows(events):
 def test_event_key_format(events):
     key = one(working.prepare(events({}))).event_key
     assert key == "2024-01-01 10:00:00.000000|7|1|view"
+
+
+def test_event_times_with_and_without_fraction(messages):
+    texts = ["2024-01-01 10:00:00 UTC", "2024-01-01 10:00:00.5 UTC", "2024-01-01 10:00:00.123456", "2024-01-01 10:00:00."]
+    rows = parsing.parse_events(messages(*[json.dumps({"event_time": t}) for t in texts])).collect()
+    assert [r.event_time and r.event_time.microsecond for r in rows] == [0, 500000, 123456, None]
