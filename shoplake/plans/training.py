@@ -11,7 +11,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from shoplake import params
-from shoplake.operators import class_metrics, factors, features, interactions, popularity
+from shoplake.operators import class_metrics, encoding, factors, features, interactions, popularity
 from shoplake.operators import ranking, recommendations
 from shoplake.sinks.models import save_metadata, save_model
 from shoplake.sinks.tables import write_table
@@ -146,18 +146,22 @@ def train_recommender(events: DataFrame, folder: str, k: int = params.TOP_K, **m
 
 # --- classifier ------------------------------------------------------------
 
+ENCODED = {"category_code": "category_idx", "brand": "brand_idx"}
+
+
 def classifier_pipeline(
-    category: str,
-    brand: str,
+    category: str | None,
+    brand: str | None,
     max_bins: int,
     trees: int = params.RF_TREES,
     depth: int = params.RF_DEPTH,
     min_instances: int = params.RF_MIN_INSTANCES,
 ) -> Pipeline:
+    """Indexers, assembler and forest; None for a column whose index the frame already holds."""
     inputs = ["category_idx", "brand_idx", "price", "hour", "week_day", "secs_since_last"]
+    indexed = [(c, i) for c, i in ((category, "category_idx"), (brand, "brand_idx")) if c is not None]
     return Pipeline(stages=[
-        StringIndexer(inputCol=category, outputCol="category_idx", handleInvalid="keep"),
-        StringIndexer(inputCol=brand, outputCol="brand_idx", handleInvalid="keep"),
+        *[StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep") for c, i in indexed],
         VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(
             labelCol="label", featuresCol="features", weightCol="weight",
@@ -179,8 +183,9 @@ def fit_classifier(
     """Weighted random forest over the ``top_n`` most frequent categories and brands.
 
     With ``top_n`` the frame needs the columns of ``features.bucket_categories``. None
-    takes all values as they are; trees split on them bin by bin, so the caller says
-    how many bins that may take (``features.cardinality`` counts them).
+    takes all values: with ``max_bins`` as they are, which gives each value a bin
+    (``features.cardinality`` counts them); without, by the numbers of
+    ``encoding.encode_all(frame, ENCODED, ...)``, which need no bin for each value.
     """
     if top_n is not None:
         pipeline = classifier_pipeline(
@@ -189,7 +194,7 @@ def fit_classifier(
         )
         return pipeline.fit(training)
     if max_bins is None:
-        raise ValueError("plain categories need max_bins")
+        return classifier_pipeline(None, None, params.RF_MAX_BINS, **forest_options).fit(training)
     return classifier_pipeline("category_code", "brand", max_bins, **forest_options).fit(training)
 
 
@@ -204,11 +209,15 @@ def score_purchases(predictions: DataFrame) -> DataFrame:
 def train_classifier(
     events: DataFrame,
     folder: str,
-    top_n: int | None = params.TOP_N_CATEGORIES,
+    top_n: int | None = None,
     max_bins: int | None = None,
     **forest_options,
 ) -> DataFrame:
-    """Fits, evaluates and saves the classifier and its metadata; returns the metadata."""
+    """Fits, evaluates and saves the classifier and its metadata; returns the metadata.
+
+    By default all categories and brands count, by their order among the training rows
+    (tables in ``folder``/encoding, which scoring joins again); see ``fit_classifier``.
+    """
     spark = events.sparkSession
     frame = features.training_frame(events)
     if top_n is not None:
@@ -218,6 +227,11 @@ def train_classifier(
 
     training, test = interactions.random_split(stored)
     started = time.monotonic()
+    if top_n is None and max_bins is None:
+        orders = encoding.fit_orders(training, ENCODED, f"{folder}/encoding")
+        write_table(encoding.encode_all(training, ENCODED, orders), f"{folder}/training", "overwrite")
+        training = spark.read.parquet(f"{folder}/training")
+        test = encoding.encode_all(test, ENCODED, orders)
     model = fit_classifier(training, top_n, max_bins, **forest_options)
     seconds = time.monotonic() - started
     save_model(model, f"{folder}/model")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shoplake import params
 from shoplake.functions.expressions import stable_hash
-from shoplake.operators import class_metrics, factors, features, interactions, popularity
+from shoplake.operators import class_metrics, encoding, factors, features, interactions, popularity
 from shoplake.operators import ranking, recommendations
 from shoplake.plans import training
 from shoplake.registry.base import EVENT_SQL, query, valid_events, valid_orders
@@ -467,6 +467,60 @@ def topn_bucketing(spark: SparkSession, folder: str) -> DataFrame:
     return features.bucket_categories(valid_events(spark, folder), TOP_N)
 
 
+EVENT_TRAIN_SQL = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 8000"
+
+MEAN_SQL = """coalesce(CAST(round(CAST(sum(CAST(weight * label AS DECIMAL(18,9))) AS DOUBLE)
+    / CAST(sum(CAST(weight AS DECIMAL(18,9))) AS DOUBLE) * 1000000) AS BIGINT), 0)"""
+
+
+def order_sql(column: str) -> str:
+    """Categories of the training rows, in the order of their mean label."""
+    return f"""
+SELECT {column} AS category, {MEAN_SQL} AS mean_label,
+  row_number() OVER (ORDER BY {MEAN_SQL}, {column} NULLS FIRST) - 1 AS number
+FROM framed WHERE {EVENT_TRAIN_SQL} GROUP BY {column}"""
+
+
+def number_sql(column: str) -> str:
+    return f"""coalesce((SELECT CAST(o.number AS DOUBLE) FROM ({order_sql(column)}) o WHERE o.category = framed.{column}),
+    (SELECT count(*) - 0.5 FROM ({order_sql(column)}) o
+      WHERE o.mean_label < (SELECT {MEAN_SQL} FROM framed WHERE {EVENT_TRAIN_SQL})))"""
+
+
+FRAMED_SQL = f", framed AS ({FRAME_SQL})"
+
+
+def _encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The training frame, marked by side, and the orders of its training rows."""
+    split = interactions.hash_split(_stored_frame(spark, folder), ("event_id",))
+    path = new_folder(spark, "encoding")
+    return split, encoding.fit_orders(split.where("is_train"), training.ENCODED, path)
+
+
+@query("category_order", f"""{FRAMED_SQL}
+SELECT 'category_code' AS source, * FROM ({order_sql('category_code')})
+UNION ALL SELECT 'brand', * FROM ({order_sql('brand')})""")
+def category_order(spark: SparkSession, folder: str) -> DataFrame:
+    _, orders = _encoded(spark, folder)
+    parts = [
+        orders[column].select(F.lit(column).alias("source"), "category", "mean_label", "number")
+        for column in training.ENCODED
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("category_encoding", f"""{FRAMED_SQL}
+SELECT event_id, CAST({number_sql('category_code')} AS DOUBLE) AS category_idx,
+  CAST({number_sql('brand')} AS DOUBLE) AS brand_idx
+FROM framed""")
+def category_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event by the orders fitted on the training side alone."""
+    split, orders = _encoded(spark, folder)
+    return encoding.encode_all(split, training.ENCODED, orders).select(
+        "event_id", *training.ENCODED.values()
+    )
+
+
 # --- classifier metrics ----------------------------------------------------
 
 PREDICTION_SQL = """
@@ -578,3 +632,10 @@ def train_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return training.train_classifier(
         valid_events(spark, folder), new_folder(spark, "classifier")
     )
+
+
+@query("train_classifier_top_n")
+def train_classifier_top_n(spark: SparkSession, folder: str) -> DataFrame:
+    return training.train_classifier(
+        valid_events(spark, folder), new_folder(spark, "classifier"), params.TOP_N_CATEGORIES
+    )
