@@ -6,7 +6,7 @@ from shoplake.operators import parsing, rollups
 from shoplake.registry.base import facts, query, sql_date, valid_events
 from shoplake.registry.serving import KPI_SQL, KPI_SUMS
 from shoplake.registry.streams import DELIVERIES, deliveries, run, state_partitions
-from shoplake.sinks import packing
+from shoplake.sinks import clustering, packing
 from shoplake.sources.adapter import click_events, table
 from shoplake.sources.kafka import file_stream
 from shoplake.sources.messages import change_messages, event_messages
@@ -149,3 +149,46 @@ def returning_users_theta_error(spark: SparkSession, folder: str) -> DataFrame:
     near = [F.abs(F.col(a) - F.col(b)) <= F.col("u") / 10 for a, b in (("users", "u"), ("returning_users", "r"), ("viewers_only", "v"))]
     return found.join(exact, "event_date", "full").agg(
         F.count("event_date").alias("days"), F.bool_and(near[0] & near[1] & near[2]).alias("within"))
+
+
+PART_RANGES = {"p_size": (10, 15), "p_retailprice": (1000.0, 1100.0)}
+
+
+@query("cluster_files", f"""
+SELECT {sql_date('event_date')} AS event_date, count(*) AS row_count, CAST(sum(price) AS DOUBLE) AS total_price,
+  true AS settled FROM fact GROUP BY fact.event_date""")
+def cluster_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts that arrive in two parts, clustered after each; a third run must find nothing."""
+    path, columns = new_folder(spark, "cluster_files"), ["user_id", "product_id", "brand"]
+    rows = facts(spark, folder)
+    for part in (F.col("user_id") % 4 != 0, F.col("user_id") % 4 == 0):
+        rows.where(part).write.mode("append").partitionBy("event_date").parquet(path)
+        clustering.cluster_files(spark, path, columns)
+    settled = clustering.cluster_files(spark, path, columns) == 0
+    return scan(spark, path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("price").alias("total_price"), F.lit(settled).alias("settled"))
+
+
+@query("cluster_skipping", """
+SELECT pieces, (SELECT count(*) FROM part WHERE p_size BETWEEN 10 AND 15 AND p_retailprice BETWEEN 1000 AND 1100) AS matching,
+  (SELECT count(*) FROM part) AS row_count, true AS skips_half FROM (VALUES (16), (64)) AS t(pieces)""")
+def cluster_skipping(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a filter on two columns meets the bounds of at most half of the files, at two file sizes."""
+    parts = table(spark, folder, "part").select(
+        "p_partkey", "p_size", F.col("p_retailprice").cast("double").alias("p_retailprice"))
+    results = []
+    for pieces in (16, 64):
+        path = new_folder(spark, "cluster_skipping")
+        parts.write.parquet(path)
+        size = packing.listing(spark, path).agg(F.sum("length")).first()[0]
+        clustering.cluster_files(spark, path, list(PART_RANGES), max(1, size // pieces))
+        rows = spark.read.parquet(path)
+        matching = F.lit(True)
+        for column, (low, high) in PART_RANGES.items():
+            matching = matching & F.col(column).between(low, high)
+        found = rows.agg(F.count_if(matching).alias("matching"), F.count(F.lit(1)).alias("row_count"))
+        opened = clustering.files_opened(rows, PART_RANGES)
+        results.append(found.join(opened).select(
+            F.lit(pieces).alias("pieces"), "matching", "row_count",
+            (F.col("opened") * 2 <= F.col("files")).alias("skips_half")))
+    return results[0].unionByName(results[1])

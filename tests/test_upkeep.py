@@ -1,13 +1,14 @@
 import os
 from datetime import date, datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from shoplake.operators import rollups
 from shoplake.operators.parsing import parse_events
 from shoplake.plans import medallion
-from shoplake.sinks import locations, packing, replace, tables
+from shoplake.sinks import clustering, locations, packing, replace, tables
 from shoplake.streaming import folding, views
 from shoplake.streaming.dedup import deduplicated
 from shoplake.streaming.jobs import start_parquet
@@ -194,3 +195,77 @@ def test_index_is_built_again_after_another_writer(spark, events, tmp_path):
     assert not tables.table_exists(spark, locations.index_path(path))
     medallion.upsert_events(spark, path, batch(events, {"user_id": 50, "event_time": datetime(2024, 4, 4)}, key=key), key)
     assert sorted(str(r.event_date) for r in spark.read.parquet(path).collect()) == ["2024-02-02", "2024-04-04"]
+
+
+def spread_rows(spark, low, high):
+    """Two unlike orders over ``id``, a text with a hot value, nulls and a day."""
+    mixed = F.pmod(F.xxhash64("id"), F.lit(100_000))
+    return spark.range(low, high).select(
+        "id", (F.col("id") % 2).alias("k"), mixed.alias("b"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("Text#"), mixed)).alias("t"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("day"))
+
+
+@pytest.mark.parametrize("pieces", [8, 64])
+def test_clustered_files_open_as_their_bounds_say(spark, tmp_path, pieces):
+    path = str(tmp_path / "table")
+    rows = spread_rows(spark, 0, 40_000)
+    rows.coalesce(1).write.parquet(path)
+    target = sum(map(os.path.getsize, names(path))) // pieces
+    before = names(path)
+    assert clustering.cluster_files(spark, path, ["id", "b"], target) == len(before)
+    table = spark.read.parquet(path)
+    assert table.exceptAll(rows).isEmpty() and table.count() == 40_000
+    found = clustering.files_opened(table, {"id": (4000, 9000), "b": (20_000, 30_000)}).first()
+    bounds = duckdb.sql(f"""
+        SELECT count(*), count(*) FILTER (WHERE id_max >= 4000 AND id_min <= 9000 AND b_max >= 20000 AND b_min <= 30000)
+        FROM (SELECT filename, min(id) AS id_min, max(id) AS id_max, min(b) AS b_min, max(b) AS b_max
+          FROM read_parquet('{path}/*.parquet', filename = true) GROUP BY filename)""").fetchall()[0]
+    assert (found.files, found.opened) == bounds
+    # A range an eighth wide on one column and a tenth on the other: well below half of the files.
+    assert found.opened <= (found.files * 0.5 if pieces == 8 else found.files * 0.2)
+
+
+def test_only_files_not_clustered_yet_are_rewritten(spark, tmp_path):
+    path, columns = str(tmp_path / "table"), ["t", "day", "id"]
+    spread_rows(spark, 0, 40_000).coalesce(1).write.partitionBy("k").parquet(path)
+    target = sum(map(os.path.getsize, names(path))) // 8
+    clustering.cluster_files(spark, path, columns, target)
+    first = {f: os.stat(f).st_mtime_ns for f in names(path)}
+    assert clustering.cluster_files(spark, path, columns, target) == 0
+    # A small part in one folder becomes a run of its own; the large runs stay as they are.
+    spread_rows(spark, 40_000, 41_000).where("k = 1").repartition(3).write.mode("append").partitionBy("k").parquet(path)
+    assert clustering.cluster_files(spark, path, columns, target) == 3
+    assert first.items() <= {f: os.stat(f).st_mtime_ns for f in names(path)}.items()
+    # One of like size takes that run along, but not the large one.
+    spread_rows(spark, 41_000, 42_000).where("k = 1").coalesce(1).write.mode("append").partitionBy("k").parquet(path)
+    assert clustering.cluster_files(spark, path, columns, target) == 2
+    assert first.items() <= {f: os.stat(f).st_mtime_ns for f in names(path)}.items()
+    expected = spread_rows(spark, 0, 40_000).unionByName(spread_rows(spark, 40_000, 42_000).where("k = 1"))
+    found = spark.read.parquet(path)
+    assert found.exceptAll(expected.select(*found.columns)).isEmpty() and found.count() == 41_000
+    # Other columns call for another order.
+    assert clustering.cluster_files(spark, path, ["day"], target) == len(first) + 1
+
+
+def test_clustering_of_nulls_ties_and_nothing(spark, tmp_path):
+    path = str(tmp_path / "a=x y")
+    nothing = "id long, t string, x double"
+    spark.createDataFrame([], nothing).write.parquet(path)
+    clustering.cluster_files(spark, path, ["id", "t", "x"])
+    assert spark.read.parquet(path).count() == 0
+    rows = spark.createDataFrame([(1, None, float("nan"))] * 50 + [(None, "", None)] * 50, nothing)
+    rows.write.mode("append").parquet(path)
+    clustering.cluster_files(spark, path, ["id", "t", "x"], 100)
+    assert spark.read.parquet(path).exceptAll(rows).isEmpty() and spark.read.parquet(path).count() == 100
+
+
+def test_cuts_follow_the_rows(spark):
+    rows = spread_rows(spark, 0, 30_000)
+    cuts = clustering.cut_points(rows, ["id", "t", "day"], 3)
+    assert all(len(c) == 7 and c == sorted(c) for c in cuts.values())
+    assert all(abs(c - 30_000 * n / 8) < 600 for n, c in enumerate(cuts["id"], 1))
+    # Half of the rows with a text are hot: no other cell of the texts holds more than a fourth.
+    cells = clustering.with_z(rows.where("t IS NOT NULL"), ["t"], 3).groupBy("_z").agg(F.count_if(F.col("t") != "hot").alias("n"))
+    assert cells.agg(F.max("n")).first()[0] < rows.where("t IS NOT NULL").count() / 4
+    assert clustering.cluster_bits(1, 2) == 3 and clustering.cluster_bits(10 ** 9, 2) == 10
