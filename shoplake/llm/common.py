@@ -28,7 +28,7 @@ def store(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
-def first_by_hash(texts: DataFrame, limit: int, marks: DataFrame | None = None) -> list:
+def chosen_by_hash(texts: DataFrame, limit: int, marks: DataFrame | None = None) -> DataFrame:
     """``kind, id, text`` of the ``limit`` ids of each kind that come first by a hash.
 
     ``texts``: ``id, text`` and ``kind``, unless ``marks`` has ``id, kind``. Rows without
@@ -53,12 +53,14 @@ def first_by_hash(texts: DataFrame, limit: int, marks: DataFrame | None = None)
             found.setdefault(row["kind"], []).append((row["hash"], row["id"]))
         room *= 2
     chosen = [(kind, id) for kind, members in found.items() for _, id in sorted(members)[:limit]]
-    if not chosen:
-        return []
     wanted = texts.sparkSession.createDataFrame(chosen, ids.select("kind", "id").schema)
     found = named.join(F.broadcast(wanted), ["id"] if marks is not None else ["kind", "id"])
-    found = found.groupBy("kind", "id").agg(F.min("text").alias("text"))
-    return sorted(found.collect(), key=lambda row: (row["kind"], row["id"]))
+    return found.groupBy("kind", "id").agg(F.min("text").alias("text"))
+
+
+def first_by_hash(texts: DataFrame, limit: int, marks: DataFrame | None = None) -> list:
+    """The rows of :func:`chosen_by_hash`, by kind and id."""
+    return sorted(chosen_by_hash(texts, limit, marks).collect(), key=lambda row: (row["kind"], row["id"]))
 
 
 def arrow_map(frame: DataFrame, schema: str, start, size: int = 128, bunch: int = 100_000) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators that judge one text at a time, against plain Python."""
 
 import collections
+import math
 import random
 import re
 
@@ -136,7 +137,7 @@ def test_language_on_odd_rows_and_held_out(docs, spark, sf_dir):
 def test_toxicity_grades_and_thresholds(spark, sf_dir, docs):
     documents, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     rows = [("you awful horrid thing " + "word " * n, 1) for n in range(5, 30)] + [("nice day " + "word " * n, 0) for n in range(5, 60)]
-    weights, thresholds = toxicity.train(rows)
+    weights, thresholds = toxicity.train([(toxicity.Buckets().of(text), mark) for text, mark in rows])
     assert (np.diff(thresholds) > 0).all() and all(w > 0 for w in weights.values())
     found = {r.doc_id: r for r in toxicity.severity(docs(*ODD, (9, "you awful horrid thing"), (10, "a nice word")), (weights, thresholds)).collect()}
     assert found[9].toxic and not found[10].toxic and not found[1].toxic and 0 <= found[9].severity <= toxicity.GRADES - 1
@@ -144,6 +145,65 @@ def test_toxicity_grades_and_thresholds(spark, sf_dir, docs):
     assert not toxicity.severity(docs(*ODD), none).where("toxic OR severity > 0").count()
 
 
+def test_likelihood_and_slopes_of_the_ordinal_model():
+    rng = np.random.default_rng(3)
+    x, grade, share = rng.random((40, 3)), rng.integers(0, toxicity.GRADES, 40), np.full(40, 1 / 40)
+
+    def plain(value):
+        weights, cuts = value[:3], [value[3], value[3] + math.exp(value[4]), value[3] + math.exp(value[4]) + math.exp(value[5])]
+        total = 0.5e-4 * sum(w * w for w in weights)
+        for row, g in zip(x, grade):
+            at_most = [0, *(1 / (1 + math.exp(sum(a * b for a, b in zip(row, weights)) - c)) for c in cuts), 1]
+            total -= math.log(at_most[g + 1] - at_most[g]) / 40
+        return total
+
+    value = rng.normal(size=6)
+    total, slopes = toxicity.loss(value, x, grade, share)
+    assert total == pytest.approx(plain(value))
+    for n in range(6):
+        step = np.zeros(6)
+        step[n] = 1e-5
+        assert slopes[n] == pytest.approx((plain(value + step) - plain(value - step)) / 2e-5, abs=1e-6)
+    weights, cuts = toxicity.fit(x, grade, share)
+    best = np.concatenate([weights, [cuts[0]], np.log(np.diff(cuts))])
+    assert all(plain(best) <= plain(best + rng.normal(size=6) * 0.2) for _ in range(50))
+
+
+def test_a_document_has_no_say_in_its_grade():
+    """Grades follow the other half: by plain counting, and unmoved by a word that one document alone has."""
+    rng = random.Random(4)
+    bad, plain = [f"{a}wful" for a in "abcdefgh"], [f"{a}word" for a in "abcdefghij"]
+    texts = [rng.choices(bad, k=rng.randrange(1, 30)) + rng.choices(plain, k=20) for _ in range(80)]
+    texts += [rng.choices(plain, k=20) for _ in range(80)]
+    marks, cache = np.array([1] * 80 + [0] * 80), toxicity.Buckets()
+    found = [cache.of(" ".join(t)) for t in texts]
+    grade = toxicity.graded(found, marks)
+    assert (grade[80:] == 0).all() and set(grade[:80]) == {1, 2, 3}
+
+    for side in (0, 1):
+        other, own = range(1 - side, 80, 2), range(side, 80, 2)
+        odds = {}
+        for bucket in set().union(*found):
+            hit, clean = sum(bucket in found[n] for n in other), sum(bucket in found[n + 80] for n in other)
+            parts = [hit + 0.5, 40 - hit + 0.5, clean + 0.5, 40 - clean + 0.5]
+            value = math.log(parts[0] / parts[1]) - math.log(parts[2] / parts[3])
+            if value / math.sqrt(sum(1 / p for p in parts)) >= toxicity.MIN_Z and hit >= 4 * clean and hit >= 40 * toxicity.MIN_SUPPORT:
+                odds[bucket] = value
+        totals = [round(sum(v * math.log1p(found[n][b]) for b, v in odds.items()), 9) for n in own]
+        low, high = np.quantile(totals, [1 / 3, 2 / 3])
+        assert [grade[n] for n in own] == [1 + (t > low) + (t > high) for t in totals]
+
+    found[10] = found[10] + cache.of("strange " * 500)
+    assert toxicity.graded(found, marks)[10] == grade[10]
+
+
+def test_toxicity_without_rows(spark, sf_dir):
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    assert toxicity.severity(documents.limit(0), toxicity.model(documents, labels)).count() == 0
+    weights, thresholds = toxicity.model(documents, labels.where("toxic = 1"))
+    assert weights == {} and np.isinf(thresholds).all()
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_sections_add_up_to_the_tokens_of_the_whole(docs, rule):
     encoding, _ = token_counts.tokenizer(public_tokenizers.path(token_counts.RANKS))
