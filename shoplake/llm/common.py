@@ -69,7 +69,8 @@ def arrow_map(frame: DataFrame, schema: str, start, size: int = 128, bunch: int
     ``start()`` is called once per task and returns a function that turns a list
     of input columns (at most ``size`` rows each) into output rows, a list or an
     iterator, of which ``bunch`` leave together. If that function
-    has an attribute ``finish``, it is called at the end for the last rows.
+    has an attribute ``finish``, it is called at the end for the last rows; with an
+    attribute ``arrow`` it gets Arrow arrays instead of lists.
     """
     kind = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(kind)
@@ -87,9 +88,11 @@ def arrow_map(frame: DataFrame, schema: str, start, size: int = 128, bunch: int
                 yield pack(part)
 
         step = start()
+        arrays = getattr(step, "arrow", False)
         for batch in batches:
             for at in range(0, batch.num_rows, size):
-                yield from packed(step(*[c.to_pylist() for c in batch.slice(at, size).columns]))
+                columns = batch.slice(at, size).columns
+                yield from packed(step(*columns if arrays else [c.to_pylist() for c in columns]))
         finish = getattr(step, "finish", None)
         if finish is not None:
             for rows in finish():
