@@ -3,7 +3,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from shoplake import params
 from shoplake.operators import validation, working
@@ -272,3 +272,23 @@ def test_upsert_of_an_empty_batch(spark, events, tmp_path):
     medallion.upsert_events(spark, path, batch(events, {}))
     assert medallion.upsert_events(spark, path, empty) == []
     assert spark.read.parquet(path).count() == 1
+
+
+def test_partitions_are_written_side_by_side_without_sorting_whole_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(40).select("id", (F.col("id") % (tables.OPEN_PARTITIONS + 4)).alias("part"))
+    settings = []
+    write = DataFrameWriter.parquet
+
+    def seen(self, path, *args, **options):
+        settings.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    tables.write_table(rows, f"{tmp_path}/table", "overwrite", ["part"])
+    tables.overwrite_partitions(rows, f"{tmp_path}/replaced", ["part"])
+    tables.append_batch(rows, f"{tmp_path}/batches", 0, ["part"])
+    assert settings == [str(tables.OPEN_PARTITIONS)] * 3
+    # More partitions than are open at once: the rest is sorted, nothing is lost.
+    for name in ("table", "replaced", "batches"):
+        stored = spark.read.parquet(f"{tmp_path}/{name}").select("id", "part")
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
