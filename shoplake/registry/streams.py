@@ -27,6 +27,8 @@ from shoplake.streaming.jobs import start_batches, start_parquet
 from shoplake.workspace import new_folder
 
 DELIVERIES = 2
+# Messages pack so well that a file of them is one row group, which only one task can read.
+MESSAGES_PER_FILE = 50_000
 INGESTED = "2024-02-01 00:00:00"
 
 
@@ -52,7 +54,7 @@ def run(spark: SparkSession, parts: list[DataFrame], start: Callable) -> None:
     """Delivers the parts one by one; ``start(stream, checkpoint)`` handles each to the end."""
     inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "checkpoint")
     for part in parts:
-        part.write.mode("append").parquet(inbox)
+        part.write.mode("append").option("maxRecordsPerFile", MESSAGES_PER_FILE).parquet(inbox)
         start(file_stream(spark, inbox), checkpoint).awaitTermination()
 
 

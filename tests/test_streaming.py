@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from shoplake.operators import rollups
 from shoplake.operators.parsing import parse_events
 from shoplake.operators.validation import valid
+from shoplake.registry import streams
 from shoplake.sources.kafka import file_stream
+from shoplake.sources.messages import event_messages
 from shoplake.streaming import ingest, replay, routing, views
 from shoplake.streaming.dedup import deduplicated
-from shoplake.streaming.jobs import start_parquet
+from shoplake.streaming.jobs import start_batches, start_parquet
 
 START = datetime(2024, 1, 1)
 
@@ -195,3 +197,19 @@ def test_salted_and_plain_dedup_agree(spark, messages, tmp_path):
     expected = rows.select("event_time", "user_id").distinct().count()
     assert deduplicated(rows).count() == deduplicated(rows, salt_buckets=8).count() == expected
     assert rows.select(F.col("offset")).count() == 200
+
+
+def test_delivered_messages_lie_in_files_that_many_tasks_can_read(spark, events, monkeypatch):
+    monkeypatch.setattr(streams, "MESSAGES_PER_FILE", 2)
+    messages = event_messages(events(*[{"user_id": n} for n in range(1, 8)]).coalesce(1), offset="user_id")
+    sizes = []
+
+    def start(stream, checkpoint):
+        def count(batch, batch_id):
+            files = batch.groupBy(F.input_file_name()).count().collect()
+            sizes.extend(row["count"] for row in files)
+
+        return start_batches(stream, checkpoint, count)
+
+    streams.run(spark, [messages], start)
+    assert sum(sizes) == 7 and max(sizes) <= 2
