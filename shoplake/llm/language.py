@@ -21,6 +21,7 @@ import functools
 import re
 import sys
 import unicodedata
+from collections.abc import Sequence
 
 import numpy as np
 import regex
@@ -118,8 +119,10 @@ def model(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     return [(name, automaton([f" {w} " for w in sorted(words[name])])) for name in sorted(words)]
 
 
-def predict(docs: DataFrame, fitted: list[tuple[str, dict]], id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, lang_pred, score, phrase_rate`` for every document."""
+def predict(
+    docs: DataFrame, fitted: list[tuple[str, dict]], id: str = "doc_id", text: str = "text", keep: Sequence[str] = ()
+) -> DataFrame:
+    """``id, lang_pred, score, phrase_rate`` for every document, and its columns ``keep``, which no prediction reads."""
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def start():
@@ -135,26 +138,28 @@ def predict(docs: DataFrame, fitted: list[tuple[str, dict]], id: str = "doc_id",
                     known[word] = found
             return found
 
-        def step(ids, texts):
+        def step(ids, texts, *kept):
             out = []
             if len(known) > CACHED_WORDS:
                 known.clear()
-            for name, body in zip(ids, texts):
+            for name, body, *rest in zip(ids, texts, *kept):
                 words = runs_of_letters((body or "").lower())
                 if not words or not names:
-                    out.append((name, "und", 0.0, None))
+                    out.append((name, "und", 0.0, None, *rest))
                     continue
                 total = np.array(list(map(parse, words)), np.int64).sum(0)
                 best = int(total.argmin())
                 others = np.delete(total, best)
                 score = 1.0 - total[best] / others.min() if len(others) else 1.0
-                out.append((name, names[best], float(score), float(total[best] / sum(map(len, words)))))
+                out.append((name, names[best], float(score), float(total[best] / sum(map(len, words))), *rest))
             return out
 
         return step
 
-    rows = docs.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return arrow_map(rows, f"`{id}` bigint, lang_pred string, score double, phrase_rate double", start)
+    own = [F.col(f"`{c}`").alias(f"kept_{n}") for n, c in enumerate(keep)]
+    rows = docs.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), *own)
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return arrow_map(rows, f"`{id}` bigint, lang_pred string, score double, phrase_rate double{kinds}", start)
 
 
 def held_out(id: str = "doc_id"):

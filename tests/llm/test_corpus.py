@@ -135,6 +135,21 @@ def test_pipeline_stage_keeps_one_row_of_each_group(docs, spark):
     assert [(r.doc_id, r.text) for r in nulls] == [(None, x)]
 
 
+def test_pipeline_language_stage_stores_no_copy_of_the_documents(docs, spark, monkeypatch):
+    def refused(rows):
+        raise AssertionError("the stage keeps a second copy of the texts")
+
+    monkeypatch.setattr(corpus_pipeline, "numbered", refused)
+    rows = [(1, "same words"), (1, "same words"), (None, "né à 👍\n"), (None, None), (2, ""), (3, "12 !"), (4, "x" * 9000)]
+    given = docs(*rows).withColumns({c: F.lit(None).cast(t) for c, t in (("source", "string"), ("n_chars", "bigint"))})
+    given = given.withColumn("lang", F.when(F.col("doc_id") == 1, "en"))
+    found = corpus_pipeline.language_id(spark, given, "")
+    assert found.columns == corpus_pipeline.COLUMNS
+    kept = [(r.doc_id, r.text, r.lang) for r in found.collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(1, "same words", "en")] * 2 + [(None, "né à 👍\n", None), (4, "x" * 9000, None)], key=str)
+
+
 def test_overlap_counts_over_column_blocks(monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_COLUMNS", 7)
     random.seed(6)
