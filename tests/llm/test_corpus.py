@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import pathlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from shoplake.llm import blocks, bpe, chat, decontamination, jaccard, lines, lm_score
+from shoplake.llm import blocks, bpe, chat, common, decontamination, jaccard, lines, lm_score
 
 ODD = [(1, None), (2, ""), (3, " \n\t\n"), (4, "né à 👍 " * 2000), (None, "alone here")]
 
@@ -125,6 +127,51 @@ def test_pairs_of_blocks_are_dealt_before_they_are_gathered(spark, monkeypatch):
     assert {r.same: r.n for r in found} == {True: 10, False: 45} and {r.same: r.l for r in found}[True] == 200
 
 
+def test_large_groups_get_larger_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 4)
+    fine = [0.5, 3.0, 8.0, 9.0, 64.0, 100.0]
+    found = spark.createDataFrame([(x,) for x in fine], "x double").select(jaccard.coarse(F.col("x")).alias("n"))
+    assert [r.n for r in found.collect()] == [1, 3, 8, 8, 8, 13]
+    members = spark.range(400).select(F.lit(1).alias("group"), "id")
+    met = jaccard.blockwise(members, jaccard.coarse(F.count("*") / 4), lambda left, right, same: [
+        (len(left), len(right), len(left) * (len(left) - 1) // 2 if same else len(left) * len(right))], "l int, r int, pairs int")
+    largest = met.agg(F.max("l"), F.max("r"), F.sum("pairs")).first()
+    assert largest == (4, 4, 400 * 399 // 2)  # every two rows once, never more than 4 by 4
+
+
+def test_whole_sets_meet_sets_of_like_size_only(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 2)
+    sizes = [n for n in (5, 20, 80, 320) for _ in range(6)] + [360]
+    sets = [(i, i, n, list(range(n))) for i, n in enumerate(sizes)]
+    rows = spark.createDataFrame(sets * 2, "id bigint, text_key bigint, n int, shingles array<bigint>")
+    members = rows.select(F.lit(1).alias("group"), "id", "text_key", "n", F.lit(1).alias("copies")).distinct()
+
+    def met(left, right, same, good):
+        return [(a["n"], b["n"], bool(good[i, j])) for i, a in enumerate(left) for j, b in enumerate(right) if not same or i < j]
+
+    found = [tuple(r) for r in jaccard.products(members, rows, met, "a int, b int, linked boolean").collect()]
+    assert {tuple(sorted(x[:2])) for x in found} == {(n, n) for n in (5, 20, 80, 320)} | {(320, 360)}
+    assert sum(x[2] for x in found) == 4 * 15  # each linked pair once; 320 of 360 are below the bound
+    counts = jaccard.products(members, rows, jaccard.link_counts, "id bigint, links bigint")
+    assert {r.id: r.n for r in counts.groupBy("id").agg(F.sum("links").alias("n")).collect()} == {i: 5 if i < 24 else 0 for i in range(25)}
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        return {f.name for folder in folders for f in pathlib.Path(folder).rglob("shuffle_*")}
+
+    before = shuffled()
+    stored = common.store(spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).count(), "counts")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and stored.count() == 1000
+    common.discard(stored)
+    assert not pathlib.Path(stored.stored_in).exists()
+
+
 def test_pipeline_stage_keeps_one_row_of_each_group(docs, spark):
     x = " ".join(f"x{n}" for n in range(30))
     rows = [(1, "a"), (1, "b"), (2, x), (2, "c"), (0, x), (None, x), (None, x), (None, None), (None, "lone words here")]
