@@ -26,7 +26,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shoplake.llm.common import arrow_map, mixed, store, table
+from shoplake.llm.common import arrow_map, discard, mixed, store, table
 
 MIN_CHARS = 20
 
@@ -166,18 +166,23 @@ def dropped(rows: DataFrame, min_chars: int = 1) -> DataFrame:
     candidates = met.select("line", F.explode(F.array("replaced", "shorter", "longer")).alias("earlier")).where(
         F.col("earlier") < F.col("line")).distinct()
     text = texts.select(where(), "text")
-    checked = (
+    # each query's shuffle files go when its rows are stored, so few lie on disk together
+    checked = store(
         candidates.join(text.withColumnRenamed("text", "later_text"), "line")
         .join(text.select(F.col("line").alias("earlier"), F.col("text").alias("earlier_text")), "earlier")
-        .where(F.levenshtein("later_text", "earlier_text", 1) >= 0).select("line").distinct()
+        .where(F.levenshtein("later_text", "earlier_text", 1) >= 0).select("line").distinct(),
+        "near",
     )
     first = distinct.join(checked.withColumn("near", F.lit(True)), "line", "left").select(
         *names, F.col("line").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
-    return (
+    found = store(
         lines.withColumn("line", where()).join(first, names)
         .withColumn("near", F.col("near") & (F.col("line") == F.col("first")))
-        .where((F.col("line") != F.col("first")) | F.col("near")).select("id", "row", "at", "near").distinct()
+        .where((F.col("line") != F.col("first")) | F.col("near")).select("id", "row", "at", "near").distinct(),
+        "dropped",
     )
+    discard(lines, distinct, texts, checked)
+    return found
 
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = 1) -> DataFrame:
