@@ -1,5 +1,7 @@
 import math
+import pathlib
 import random
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
@@ -137,6 +139,20 @@ def test_fits_keep_the_documented_rank(spark, tmp_path):
     assert found.keys() == own.keys() and all(abs(found[key] - own[key]) < 1e-4 for key in own)
 
 
+def test_fits_keep_no_shuffle_files_of_all_iterations(spark):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffles():
+        return {f.name.split("_")[1] for folder in folders for f in pathlib.Path(folder).rglob("shuffle_*.data")}
+
+    rows = [(u, p, 1.0 + (u * p) % 3) for u in range(30) for p in range(20)]
+    ratings = spark.createDataFrame(rows, "userId int, productId int, rating float")
+    before = shuffles()
+    model = training.fit_recommender(ratings, rank=3, iterations=12, blocks=2)
+    # Each iteration shuffles twice; those that carry users' factors to products have gone.
+    assert len(shuffles() - before) < 20 and model.rank == 3
+
+
 def brute_top_k(users, products, k):
     lists = {}
     for user, u in users:
