@@ -13,9 +13,10 @@ DIGITS = 6
 BAND_RATIO = 1.1
 # The products with the greatest norms, whose scores give each user a first bound.
 HEAD = 4096
-PRODUCTS_PER_CELL = 2048
-USERS_PER_CELL = 8192
-USERS_AT_ONCE = 1024
+# Every user goes to each cell of products that can reach it, so cells are as large as a task holds.
+PRODUCTS_PER_CELL = 8192
+USERS_PER_CELL = 16384
+USERS_AT_ONCE = 256
 
 CELL = ("place", "part", "salt")
 PICKS = "user bigint, product bigint, score double"
@@ -111,7 +112,8 @@ def top_k(users: DataFrame, products: DataFrame, k: int = params.TOP_K, digits:
     have distinct ids; rows without id or features are left out. Scores are rounded to ``digits``
     places, equal ones rank by product id. Fewer than k products give shorter lists.
 
-    Products lie in bands of like norm. The ``HEAD`` products of the greatest norms give every user
+    Products lie in bands of like norm, of which small neighbours are taken as one, since each
+    user's factors go to every band that they need. The ``HEAD`` products of the greatest norms give every user
     a score that the k best reach; bands whose norm times the user's cannot reach it are skipped.
     What is left is joined in cells of some ``PRODUCTS_PER_CELL`` products and ``USERS_PER_CELL``
     users, products first, so a task holds one cell's products and streams its users. To the
@@ -123,21 +125,29 @@ def top_k(users: DataFrame, products: DataFrame, k: int = params.TOP_K, digits:
     sizes = sorted(products.groupBy("band").count().collect(), key=lambda r: (r.band is not None, r.band))
     if not sizes:
         return spark.createDataFrame([], f"{PICKS}, rank int")
+    places: list[tuple[list, int]] = []  # bands and their products, from the greatest norms down
+    for size in reversed(sizes):
+        if places and places[-1][1] + size["count"] <= PRODUCTS_PER_CELL:
+            places[-1] = (places[-1][0] + [size.band], places[-1][1] + size["count"])
+        else:
+            places.append(([size.band], size["count"]))
+    places.reverse()
     lowest = np.iinfo(np.int32).min
-    bands = np.array([lowest if r.band is None else r.band for r in sizes], np.float64)
+    bands = np.array([lowest if joined[0] is None else joined[0] for joined, _ in places], np.float64)
     vectors = np.array([r.features for r in head], np.float64)
     bounded = _bounded(users, vectors, bands, k, digits)
     depths = {r.low: r["count"] for r in bounded.groupBy("low").count().collect()}
 
-    rows, wanting = [], 0
-    for place, size in enumerate(sizes):
+    rows, by_place, wanting = [], [], 0
+    for place, (joined, count) in enumerate(places):
         wanting += depths.get(place, 0)
         if wanting:
-            parts, salts = -(-size["count"] // PRODUCTS_PER_CELL), -(-wanting // USERS_PER_CELL)
-            rows.append((size.band, place, parts, salts))
+            by_place.append((place, -(-count // PRODUCTS_PER_CELL), -(-wanting // USERS_PER_CELL)))
+            rows.extend((band, *by_place[-1]) for band in joined)
     if not rows:
         return spark.createDataFrame([], f"{PICKS}, rank int")
     cells = F.broadcast(spark.createDataFrame(rows, "band int, place int, parts int, salts int"))
+    needed = F.broadcast(spark.createDataFrame(by_place, "place int, parts int, salts int"))
 
     def dealt(over: str):
         return F.pmod(F.xxhash64("id"), F.col(over)).cast("int")
@@ -148,13 +158,13 @@ def top_k(users: DataFrame, products: DataFrame, k: int = params.TOP_K, digits:
     offered = products.join(cells, products["band"].eqNullSafe(cells["band"])).withColumns(
         {"part": dealt("parts"), "is_user": F.lit(0), "least": F.lit(0.0)}).withColumn("salt", spread("salts"))
     asking = (
-        bounded.where(F.col("low") < len(sizes))
-        .withColumn("place", F.explode(F.sequence("low", F.lit(len(sizes) - 1)))).join(cells.drop("band"), "place")
+        bounded.where(F.col("low") < len(places))
+        .withColumn("place", F.explode(F.sequence("low", F.lit(len(places) - 1)))).join(needed, "place")
         .withColumns({"salt": dealt("salts"), "is_user": F.lit(1)}).withColumn("part", spread("parts"))
     )
     columns = [*CELL, "is_user", "id", "features", "least"]
     together = offered.select(*columns).unionByName(asking.select(*columns))
-    number = sum(parts * salts for _, _, parts, salts in rows)
+    number = sum(parts * salts for _, parts, salts in by_place)
     picked = (
         together.repartition(number, *CELL).sortWithinPartitions(*CELL, "is_user", "id")
         .mapInArrow(_picked(k, digits), PICKS)

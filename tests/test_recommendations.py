@@ -153,6 +153,27 @@ def test_fits_keep_no_shuffle_files_of_all_iterations(spark):
     assert len(shuffles() - before) < 20 and model.rank == 3
 
 
+def test_small_bands_share_a_cell(spark, tmp_path, monkeypatch):
+    """Each user's factors are sent once for all bands that fit one cell."""
+    vectors = [(n, [1.2 ** (n % 40), 0.5]) for n in range(400)]
+    frames = [spark.createDataFrame(rows, "id long, features array<double>") for rows in (vectors[:50], vectors)]
+    monkeypatch.setattr(factors, "_picked", lambda k, digits, pick=factors._picked: counted(pick(k, digits), tmp_path))
+    monkeypatch.setattr(factors, "HEAD", 2)  # too few to bound any score: every user needs every band
+
+    def counted(pick, folder):
+        def run(batches):
+            def seen(batches):
+                for batch in batches:
+                    (folder / uuid.uuid4().hex).write_text(str(int(sum(batch["is_user"].to_pylist()))))
+                    yield batch
+            yield from pick(seen(batches))
+        return run
+
+    found = factors.top_k(*frames, 3).collect()
+    sent = sum(int(f.read_text()) for f in tmp_path.iterdir())
+    assert sent == 50 and len(found) == 150
+
+
 def brute_top_k(users, products, k):
     lists = {}
     for user, u in users:
